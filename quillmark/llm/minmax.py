@@ -164,7 +164,7 @@ def _candidates(nodes: DataFrame, n: int) -> DataFrame:
             ends = np.append(cut[1:], len(key))
             many = ends - cut > 1
             if many.any():
-                a, b = forest(np.stack([np.asarray(t[w]) for w in words], 1), cut[many], ends[many])
+                a, b = forest(np.stack([np.asarray(t[w]) for w in words], 1).view(U64), cut[many], ends[many])
                 yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["u", "v"])
 
         for batch in batches:
