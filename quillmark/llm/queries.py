@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covertree, licenses, minmax, mixing, moore_lewis, packing, quality, token_store, warc
+from . import covertree, licenses, minmax, mixing, moore_lewis, packing, quality, token_store, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_output(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found: list[Query] = [
-        op1_license_scan, op2_token_output, op4_minmax_near_dedup, op5_cover_tree_topk, op6_quality_rules, op7_cross_entropy_difference, op8_mixture_packing, op9_poisson_mixing, op10_arc_to_warc,
+        op1_license_scan, op2_token_output, op3_toxicity, op4_minmax_near_dedup, op5_cover_tree_topk, op6_quality_rules, op7_cross_entropy_difference, op8_mixture_packing, op9_poisson_mixing, op10_arc_to_warc,
     ]
     return {f.__name__: f for f in found}
 
