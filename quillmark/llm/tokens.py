@@ -17,8 +17,8 @@ import numpy as np
 #: Pieces held per worker in each of two generations; the older one goes when the newer is full.
 CACHE_PIECES = 400_000
 #: White space that makes a text go through the library whole.
-_RUNS = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\v", "\f", "\x85", "\xa0", " ", " ", " ", " ", " ", "　")
-_RUNS += tuple(map(chr, (*range(0x1C, 0x20), *range(0x2000, 0x200B))))
+_RUNS = ("  ", "\n ", " \n", "\n\n", "\t", "\r", "\v", "\f")
+_RUNS += tuple(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _MARKED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 #: The byte-level alphabet: a printable Latin-1 byte stands for itself, the others for the characters from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
