@@ -6,7 +6,7 @@ the Poisson distribution of its source's rate, and is repeated so often (often n
 over all partitions by a hash of id, text and copy number and ordered by it within each: a global shuffle.
 
 A null source is a source of its own. A null text counts no characters; a source without any keeps rate 1. A source
-without a given weight gets none. Equal rows draw the same count. Columns of the input that are named as one of the
+without a given weight gets none; if no weight is positive nothing is drawn. Equal rows draw the same count. Columns of the input that are named as one of the
 added columns are replaced.
 """
 
@@ -24,8 +24,8 @@ SEED = "mix-1"
 DIGITS = 13
 #: Sources whose rates are held in the plan's small side; its rows are one a source.
 MOST_SOURCES = 1_000_000
-#: A rate above this is refused: the table of its distribution would get long.
-MOST_RATE = 500.0
+#: A rate above this is drawn as a sum of equal parts, each by a hash of its own.
+MOST_RATE = 64.0
 
 
 def uniform(*parts: Column | str) -> Column:
@@ -59,7 +59,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None) -> DataFrame
             weight = F.when(F.col("_mix_source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(weight)
     sums = sums.withColumn("weight", F.coalesce(weight, F.lit(0.0)))
     whole = sums.agg(F.sum("size").alias("all_size"), F.sum(F.when(F.col("size") > 0, F.col("weight"))).alias("all_weight"))
-    rate = F.when(F.col("size") > 0, F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size")).otherwise(F.lit(1.0))
+    share = F.coalesce(F.col("weight") / F.nullif("all_weight", F.lit(0.0)), F.lit(0.0))
+    rate = F.when(F.col("size") > 0, share * F.col("all_size") / F.col("size")).otherwise(F.lit(1.0))
     return sums.crossJoin(F.broadcast(whole)).select("_mix_source", rate.alias("rate"))
 
 
@@ -68,15 +69,16 @@ def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] |
     found = rates(docs, weights)
     if not common.fits(found, MOST_SOURCES):
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    table = [(r["_mix_source"], r["rate"]) for r in found.collect()]
-    if any(rate is None or rate > MOST_RATE for _, rate in table):
-        raise ValueError("a target rate cannot be met")
-    tables = spark.createDataFrame([(s, rate, steps(rate)) for s, rate in table], "_mix_source string, _mix_rate double, _mix_steps array<double>")
+    table = [(r["_mix_source"], r["rate"], max(1, math.ceil(r["rate"] / MOST_RATE))) for r in found.collect()]
+    tables = spark.createDataFrame([(s, rate, n, steps(rate / n)) for s, rate, n in table], "_mix_source string, _mix_rate double, _mix_parts int, _mix_steps array<double>")
     kept = [c for c in docs.columns if c not in ("rate", "n_copies", "copy", "shuffle_key")]
     rows = docs.select(kept).join(F.broadcast(tables), F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
     rows = rows.withColumn("_mix_u", uniform("doc_id", F.coalesce(F.md5("text"), F.lit("\x00"))))
     # the smallest k whose cumulative probability exceeds the number
-    rows = rows.withColumn("n_copies", F.expr("size(filter(_mix_steps, c -> c <= _mix_u))")).where("n_copies > 0")
+    drawn = lambda u: F.size(F.filter("_mix_steps", lambda c: c <= u))
+    more = lambda n, j: n + drawn(uniform(F.lit("part"), "doc_id", F.coalesce(F.md5("text"), F.lit("\x00")), j.cast("string")))
+    parts = F.when(F.col("_mix_parts") > 1, F.aggregate(F.sequence(F.lit(2), F.col("_mix_parts")), F.lit(0), more)).otherwise(0)
+    rows = rows.withColumn("n_copies", drawn(F.col("_mix_u")) + parts).where("n_copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     rows = rows.withColumn("shuffle_key", uniform("doc_id", F.coalesce(F.md5("text"), F.lit("\x00")), "copy"))
     rows = rows.select(*kept, F.col("_mix_rate").alias("rate"), "n_copies", "copy", "shuffle_key")
