@@ -235,7 +235,8 @@ def _links(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
                 data = pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*[cut.column(c) for c in ("node", "grp", "block", "blocks")], data], ["node", "grp", "block", "blocks", "shingles"])
 
-    texts = docs.join(placed, F.col("node") == F.col("_node")).select("node", "grp", "block", "blocks", "text")
+    # the same join at every size: which texts are shuffled must not hinge on what is small enough to broadcast
+    texts = docs.join(placed.hint("merge"), F.col("node") == F.col("_node")).select("node", "grp", "block", "blocks", "text")
     sets = texts.mapInArrow(read, "node long, grp long, block int, blocks int, shingles binary")
     # every pair of blocks once: (i, j) with i <= j
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))

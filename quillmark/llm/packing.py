@@ -17,8 +17,8 @@ packed once each.
 from __future__ import annotations
 
 import struct
-import zlib
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +49,13 @@ class Plan:
         e = np.clip(np.searchsorted(self.rounds, r, "right") - 1, 0, len(self.base) - 1)
         return np.minimum(self.base[e] + ((r - self.rounds[e])[:, None] * self.quanta[e] >> POINT), self.tokens)
 
-    def round_of(self, s: int, at: np.ndarray) -> np.ndarray:
+    def round_of(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The round that sends token ``at`` of source ``s``."""
-        e = np.clip(np.searchsorted(self.base[:, s], at, "right") - 1, 0, len(self.base) - 1)
+        e = np.zeros(len(s), np.int64)
+        for k in np.unique(s):
+            own = s == k
+            e[own] = np.searchsorted(self.base[:, k], at[own], "right") - 1
+        e = np.clip(e, 0, len(self.base) - 1)
         q = np.maximum(1, self.quanta[e, s])
         # the last round before which at most `at` tokens are sent
         more = at - self.base[e, s] + 1
@@ -90,30 +94,35 @@ def tails(rest: int) -> list[int]:
     return [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def place(p: Plan, s: int, start: int, n: int, size: int) -> tuple[np.ndarray, ...]:
-    """Where the ``n`` tokens from ``start`` of source ``s`` go: start within the run, length, sequence, offset of each piece."""
-    ends = p.round_of(s, np.array([start, start + n - 1], np.int64))
-    r = np.arange(ends[0], ends[1] + 1)
-    before, after = p.sent(r), p.sent(r + 1)
-    lo, hi = np.maximum(before[:, s], start), np.minimum(after[:, s], start + n)
-    at = before.sum(1) + (after[:, :s] - before[:, :s]).sum(1) + lo - before[:, s]
+def place(p: Plan, s: np.ndarray, start: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Where runs of tokens go: ``n[i]`` from ``start[i]`` of source ``s[i]``. Of each piece: its run, start within the run, length, sequence, offset."""
+    first_r, last_r = p.round_of(s, start), p.round_of(s, start + n - 1)
+    count = last_r - first_r + 1
+    run = np.repeat(np.arange(len(s)), count)
+    r = first_r[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    rounds, which = np.unique(r, return_inverse=True)
+    before, after = p.sent(rounds), p.sent(rounds + 1)
+    step = after - before
+    base = before.sum(1)[:, None] + np.cumsum(step, axis=1) - step  # where each source begins in a round
+    src = s[run]
+    lo, hi = np.maximum(before[which, src], start[run]), np.minimum(after[which, src], (start + n)[run])
+    at = base[which, src] + lo - before[which, src]
     keep = hi > lo
-    lo, length, at = lo[keep], (hi - lo)[keep], at[keep]
+    run, lo, length, at = run[keep], lo[keep], (hi - lo)[keep], at[keep]
     # cut at sequence bounds
     total = int(p.tokens.sum())
     full = total // size
-    steps = tails(total - full * size)
-    bounds = full * size + np.cumsum([0, *steps])
-    first = np.where(at < full * size, at // size, full + np.searchsorted(bounds, at, "right") - 1)
-    last_at = at + length - 1
-    last = np.where(last_at < full * size, last_at // size, full + np.searchsorted(bounds, last_at, "right") - 1)
-    count = last - first + 1
+    bounds = full * size + np.cumsum([0, *tails(total - full * size)])
+    number = lambda x: np.where(x < full * size, x // size, full + np.searchsorted(bounds, x, "right") - 1)
+    first = number(at)
+    count = number(at + length - 1) - first + 1
     rep = np.repeat(np.arange(len(at)), count)
     seq = first[rep] + np.arange(len(rep)) - np.repeat(np.cumsum(count) - count, count)
     begin = np.where(seq < full, seq * size, bounds[np.clip(seq - full, 0, len(bounds) - 1)])
     end = np.where(seq < full, begin + size, bounds[np.clip(seq - full + 1, 0, len(bounds) - 1)])
     a, b = np.maximum(at[rep], begin), np.minimum(at[rep] + length[rep], end)
-    return lo[rep] + a - at[rep] - start, b - a, seq, a - begin
+    run = run[rep]
+    return run, lo[rep] + a - at[rep] - start[run], b - a, seq, a - begin
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bool) -> DataFrame:
@@ -160,20 +169,18 @@ def pack(
 
     def run(batches):
         for batch in batches:
-            for first in range(0, len(batch), 256):
-                cols = {k: [] for k in ("doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-                for doc_id, source, n, ids, begin in zip(*[batch.column(c).slice(first, 256).to_pylist() for c in ("doc_id", "source", "n", "ids", "at")], strict=True):
-                    start, length, seq, offset = place(the_plan, index[source], begin, n, size)
-                    view = memoryview(ids)
-                    cols["doc_id"] += [doc_id] * len(start)
-                    cols["source"] += [source] * len(start)
-                    cols["start"] += start.tolist()
-                    cols["length"] += length.tolist()
-                    cols["ids_crc32"] += [zlib.crc32(view[4 * a : 4 * (a + b)]) for a, b in zip(start.tolist(), length.tolist(), strict=True)]
-                    cols["doc_tokens"] += [n] * len(start)
-                    cols["sequence_id"] += seq.tolist()
-                    cols["offset"] += offset.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k == "source" else pa.int64()) for k, v in cols.items()], list(cols))
+            for first in range(0, len(batch), 1024):
+                cut = batch.slice(first, 1024)
+                n, begin = np.asarray(cut.column("n")), np.asarray(cut.column("at"))
+                source = np.array([index[x] for x in cut.column("source").to_pylist()], np.int64)
+                doc, start, length, seq, offset = place(the_plan, source, begin, n, size)
+                views = [memoryview(x) for x in cut.column("ids").to_pylist()]
+                crcs = [crc32(views[d][a:b]) for d, a, b in zip(doc.tolist(), (4 * start).tolist(), (4 * (start + length)).tolist(), strict=True)]
+                row = pa.array(doc)
+                yield pa.RecordBatch.from_arrays(
+                    [cut.column("doc_id").take(row), cut.column("source").take(row), *map(pa.array, (start, length)), pa.array(crcs, pa.int64()), *map(pa.array, (n[doc], seq, offset))],
+                    ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+                )
 
     joined = coded.join(begins, (F.col("part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")))
     rows = joined.select("doc_id", "source", "n", "ids", (F.col("begin") + F.col("before")).alias("at"))

@@ -192,13 +192,13 @@ def _unit(p: np.ndarray) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame, column: str, most: int, chars: int, where=None) -> list:
     """At most ``most`` labelled rows (text, label) of at most ``chars`` characters, in hash order, half of each class where there are enough."""
     marked = labels.select("doc_id", F.col(column).cast("int").alias("y")).where(F.col("y").isin(0, 1)).where(where if where is not None else F.lit(True)).dropDuplicates(["doc_id"])
-    rows = []
+    ids = None
     for y in (0, 1):
-        ids = marked.where(F.col("y") == y).orderBy(common.stable_order("doc_id"), "doc_id").limit(most // 2)
-        # the bound makes this side small enough to send everywhere
-        found = docs.select("doc_id", "text").where(F.length("text") <= chars).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
-        rows += sorted({(r.doc_id, r.text, r.y) for r in found.collect()})
-    return rows
+        own = marked.where(F.col("y") == y).orderBy(common.stable_order("doc_id"), "doc_id").limit(most // 2)
+        ids = own if ids is None else ids.unionByName(own)
+    # the bound makes this side small enough to send everywhere; the texts are read once
+    found = docs.select("doc_id", "text").where(F.length("text") <= chars).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
+    return sorted({(r.doc_id, r.text, r.y) for r in found.collect()}, key=lambda r: (r[2], r[0], r[1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
@@ -206,9 +206,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | N
     if len({r[2] for r in rows}) < 2:
         return None
     body, offsets = common.text_column(pa.array([r[1] for r in rows], pa.large_string()))
-    made = lines_of(body, offsets)
-    y = np.array([r[2] for r in rows])[made["line_row"]]
-    return train(made["x"], y, row_bounds(made["line_row"], len(rows)))
+    parts = []
+    for a, b in common.pieces(offsets):  # a bounded part at a time, as in the tasks
+        made = lines_of(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        parts.append((made["x"], made["line_row"] + a))
+    x, row = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return train(x, np.array([r[2] for r in rows])[row], row_bounds(row, len(rows)))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
