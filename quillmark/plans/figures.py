@@ -30,10 +30,9 @@ def confusion(spark, sf):
     return out.select(F.col("truth").cast("int").alias("truth"), F.col("predicted").cast("int").alias("predicted"), "n")
 
 
-@query(f"""WITH {_ROWS}, w AS (SELECT *, 1.0 / count(*) OVER (PARTITION BY source) AS w FROM r), l AS (SELECT 0 AS label UNION ALL SELECT 1)
-SELECT CAST(label AS VARCHAR) AS label, round(sum(w) FILTER (WHERE quality = label), 9) AS support, round(sum(w) FILTER (WHERE pred = label), 9) AS predicted,
-round(sum(w) FILTER (WHERE quality = label AND pred = label) / sum(w) FILTER (WHERE pred = label), 9) AS "precision", round(sum(w) FILTER (WHERE quality = label AND pred = label) / sum(w) FILTER (WHERE quality = label), 9) AS recall,
-round(2 * sum(w) FILTER (WHERE quality = label AND pred = label) / (sum(w) FILTER (WHERE quality = label) + sum(w) FILTER (WHERE pred = label)), 9) AS f1 FROM w, l GROUP BY label""")
+@query(f"""WITH {_ROWS}, w AS (SELECT *, 1.0 / count(*) OVER (PARTITION BY source) AS w FROM r), l AS (SELECT 0 AS label UNION ALL SELECT 1),
+t AS (SELECT label, sum(CASE WHEN quality = label THEN w ELSE 0 END) AS s, sum(CASE WHEN pred = label THEN w ELSE 0 END) AS p, sum(CASE WHEN quality = label AND pred = label THEN w ELSE 0 END) AS tp FROM w, l GROUP BY label)
+SELECT CAST(label AS VARCHAR) AS label, round(s, 9) AS support, round(p, 9) AS predicted, round(tp / nullif(p, 0), 9) AS "precision", round(tp / nullif(s, 0), 9) AS recall, round(2 * tp / nullif(s + p, 0), 9) AS f1 FROM t WHERE s + p > 0""")
 def weighted_prf(spark, sf):
     """Rows weighted by one over their source's rows."""
     rows = _rows(spark, sf)
