@@ -260,7 +260,7 @@ def stream_periods(spark, sf):
 
     from quillmark.streaming import streams
 
-    return streams.period_counts(spark, f"{sf}/events.parquet", _work(spark, uuid.uuid4().hex), "ts", "event_type", WEEK["first"], WEEK["days"])
+    return streams.period_counts(spark, f"{sf}/events.parquet", _work(spark, uuid.uuid4().hex), "ts", "event_type", **WEEK)
 
 
 @query()

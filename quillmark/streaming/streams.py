@@ -43,13 +43,13 @@ def pending_bodies(spark: SparkSession, source: str, work: str, id_col: str, tex
     return spark.read.parquet(out).select("body_hash", id_col)
 
 
-def period_counts(spark: SparkSession, source: str, work: str, date: str, key: str, first: str, days: int, files_per_batch: int = 1) -> DataFrame:
+def period_counts(spark: SparkSession, source: str, work: str, date: str, key: str, files_per_batch: int = 1, **grid) -> DataFrame:
     """Counts by window and key, kept as partial sums of each batch: rows that come late are added, never dropped."""
     stream = _stream(spark, source, files_per_batch)
     out = f"{work}/partial"
 
     def batch(rows: DataFrame, number: int) -> None:
-        own = periods.assign(rows.withColumn("_d", F.col(date).cast("timestamp")), "_d", first=first, days=days)
+        own = periods.assign(rows.withColumn("_d", F.col(date).cast("timestamp")), "_d", **grid)
         own.groupBy("period", key).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
