@@ -1,32 +1,43 @@
 """Operator 7, language-model scoring by cross-entropy difference.
 
-Two bigram models, of a target domain and of all documents as the background, share one vocabulary (the corpus's most
-frequent words, all others being one unknown word), order and smoothing. A document's score is the mean over its
-tokens of target loss less background loss, in nats: low where a text is more like the target than like the corpus.
+Two bigram models, of a target domain and of all documents as the background, share one vocabulary (all words of the
+corpus; words that only the target has are one unknown word, which no scored text holds), order and smoothing. A
+document's score is the mean over its tokens of target loss less background loss, in nats: low where a text is more
+like the target than like the corpus.
 
 Words are as in the near-duplicate operator: A-Z lowered, split at ASCII white space. A text is its words and an end
-mark after a begin mark, so a null or empty text has one token. Counts of words and bigrams are taken over all
-documents and grow with them; the models, held in every task, are bounded by the vocabulary's square. Repeated rows
-count as often as they occur. Extra columns are not read.
+mark after a begin mark, so a null or empty text has one token. Repeated rows count as often as they occur. Extra
+columns are not read.
+
+Neither model is ever in one place. Texts are cut into blocks; a block asks for the counts of its distinct words and
+word pairs, which are added up by ranges of their hashes, and each block gets its own back. A frequent word or pair is
+one entry a block. Two of the words and pairs share a 63-bit hash with probability 2^-63.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .textnum import LOWER, run_hashes, spans
+from .textnum import LOWER, U64, mix, run_hashes, spans
 
-#: Words told apart. Models are square in it: 2 x 8 MB here.
-VOCABULARY = 1024
+#: Words told apart: all that a table can hold. A smaller number keeps the most frequent words of the corpus.
+VOCABULARY = 2**63 - 1
 #: Weight of the bigram against the unigram estimate, and the count added to each unigram.
 WEIGHT = 0.7
 ADDED = 0.5
+#: Bytes of text of a block; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 20
+#: Bytes hashed at once.
+_PIECE_BYTES = 1 << 18
+_MARK, _UNKNOWN = mix(np.array([0x6D61726B, 0x756E6B], U64))
 _UPPER, _LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = "[\\x20\\x09-\\x0D]+"
+_BLOCK = "block long, background boolean, n_tokens long, ids array<long>, lengths binary, words binary, tokens binary"
 
 
 def vocabulary(docs: DataFrame, size: int) -> list[str]:
@@ -36,88 +47,166 @@ def vocabulary(docs: DataFrame, size: int) -> list[str]:
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-class Coder:
-    """Word numbers of texts: 0 unknown, 1 begin, 2 end, then the vocabulary in its order."""
-
-    def __init__(self, words: list[str]) -> None:
-        body, offsets = common.text_column(pa.array(words, pa.large_string()))
-        h = run_hashes(body, offsets[:-1], offsets[1:])
-        order = np.argsort(h)
-        self.hashes, self.numbers, self.size = h[order], order + 3, len(words) + 3
-
-    def pairs(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, previous and present word of every token."""
-        n = len(offsets) - 1
-        body = LOWER[body]
-        s, e, row = spans(body, offsets)
-        number = np.zeros(len(s), np.int64)
-        if len(self.hashes) and len(s):
-            h = run_hashes(body, s, e)
-            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            number = np.where(self.hashes[at] == h, self.numbers[at], 0)
-        # a text's tokens with the end mark after them
-        ends = np.searchsorted(row, np.arange(n), "right") + np.arange(n)
-        now = np.full(len(s) + n, 2, np.int64)
-        words = np.ones(len(now), bool)
-        words[ends] = False
-        now[words] = number
-        before = np.concatenate([[1], now[:-1]])
-        before[ends[:-1] + 1] = 1
-        rows = np.zeros(len(now), np.int64)
-        rows[words], rows[ends] = row, np.arange(n)
-        return rows, before, now
-
-
-def bigrams(docs: DataFrame, coder: Coder) -> np.ndarray:
-    """Counts of all word pairs, dense."""
-    size = coder.size
+def _packed(numbers: np.ndarray) -> bytes:
+    """Their number and, compressed, their first bytes, second bytes and so on; high bytes are mostly zero."""
+    planes = numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], n * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel()
+
+
+def word_hashes(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and each row's number of words."""
+    body = LOWER[body]
+    s, e, row = spans(body, offsets)
+    return run_hashes(body, s, e), np.bincount(row, minlength=len(offsets) - 1)
+
+
+def blocks(docs: DataFrame, background: bool, known: np.ndarray | None) -> DataFrame:
+    """Blocks of documents: ids, tokens a text, distinct word hashes, and for every token the place of its word.
+
+    Place 0 is the mark that ends a text and, being before the next one's first word, begins it. Words outside ``known``,
+    if given, are one.
+    """
 
     def run(batches):
-        total = np.zeros(size * size, np.int64)
+        number = (TaskContext.get().partitionId() << 32) * 2 + background
         for batch in batches:
             body, offsets = common.text_column(batch.column("text"))
-            for a, b in common.pieces(offsets):
-                _, before, now = coder.pairs(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                total += np.bincount(before * size + now, minlength=size * size)
-        keys = np.flatnonzero(total)
-        for first in range(0, len(keys), 50_000):
-            k = keys[first : first + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(total[k])], ["pair", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(size * size, np.int64)
-    total[np.asarray(rows["pair"])] = np.asarray(rows["n"])
-    return total.reshape(size, size)
-
-
-def losses(counts: np.ndarray) -> np.ndarray:
-    """-log p(word | previous word), interpolated with the unigram estimate."""
-    word = counts.sum(0).astype(float)
-    single = (word + ADDED) / (word.sum() + ADDED * (len(word) - 1))  # no token is the begin mark
-    before = counts.sum(1, keepdims=True).astype(float)
-    pair = np.divide(counts, before, out=np.zeros(counts.shape), where=before > 0)
+            ids = batch.column("doc_id")
+            for a, b in common.pieces(offsets, BLOCK_BYTES):
+                at = offsets[a : b + 1]
+                parts = [word_hashes(body[at[c] : at[d]], at[c : d + 1] - at[c]) for c, d in common.pieces(at, _PIECE_BYTES)]
+                h, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if known is not None:
+                    h = np.where(np.isin(h, known), h, _UNKNOWN)
+                words, place = np.unique(h, return_inverse=True)
+                tokens = np.zeros(len(h) + len(n), np.int32)
+                tokens[np.arange(len(h)) + np.repeat(np.arange(len(n)), n)] = place + 1
+                columns = [[number], [background], [len(tokens)], [ids.slice(a, b - a).to_pylist()], [_packed(n + 1)], [_packed(np.diff(words, prepend=U64(0)))], [_packed(tokens)]]
+                number += 2
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 3], strict=True)], _NAMES)
+
+    return docs.mapInArrow(run, _BLOCK)
+
+
+_NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
+
+
+class Block:
+    """Distinct words and pairs of a block; ``keys`` are their hashes, words first, told apart by the lowest bit."""
+
+    def __init__(self, words: bytes, tokens: bytes, buckets: int) -> None:
+        h = np.concatenate([[_MARK], np.cumsum(_unpacked(words, U64), dtype=U64)])
+        now = _unpacked(tokens, np.int32).astype(np.int64)
+        before = np.concatenate([[0], now[:-1]])
+        pair, self.token_pair, n = np.unique(before * len(h) + now, return_inverse=True, return_counts=True)
+        self.before, self.now = pair // len(h), pair % len(h)
+        both = mix(h[self.before] * U64(0xA0761D6478BD642F) + mix(h[self.now]))
+        self.keys = np.concatenate([h | U64(1), both & ~U64(1)])
+        self.n = np.concatenate([np.bincount(now, minlength=len(h)), n])
+        self.order = np.argsort(self.keys)
+        #: of each bucket, the first of its keys in that order
+        bucket = (self.keys[self.order] >> U64(32)) * U64(buckets) >> U64(32)
+        self.bounds = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
+
+
+def asked(rows: DataFrame, buckets: int) -> DataFrame:
+    """What each block holds of each range of hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                own = Block(r["words"], r["tokens"], buckets)
+                keys, n = own.keys[own.order], own.n[own.order]
+                spans_ = [(k, a, b) for k, (a, b) in enumerate(zip(own.bounds[:-1], own.bounds[1:], strict=True)) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([k for k, _, _ in spans_], pa.int32()), pa.array([r["block"]] * len(spans_), pa.int64()), pa.array([r["background"]] * len(spans_), pa.bool_()),
+                        pa.array([_packed(np.diff(keys[a:b], prepend=U64(0))) for _, a, b in spans_], pa.binary()), pa.array([_packed(n[a:b]) for _, a, b in spans_], pa.binary()),
+                    ], ["bucket", "block", "background", "keys", "n"],
+                )
+
+    return rows.select("block", "background", "words", "tokens").mapInArrow(run, "bucket int, block long, background boolean, keys binary, n binary")
+
+
+def totals(table: pa.Table) -> pa.Table:
+    """Of one range of hashes: to every background block the counts over the target and over the corpus, in its order."""
+    rows = table.to_pylist()
+    keys = [np.cumsum(_unpacked(r["keys"], U64), dtype=U64) for r in rows]
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    ends = np.cumsum([len(k) for k in keys])
+    sums = np.zeros((2, len(distinct)), np.int64)
+    for r, k, end in zip(rows, keys, ends, strict=True):
+        sums[int(r["background"]), at[end - len(k) : end]] += _unpacked(r["n"])  # a block's keys are distinct
+    words = int(((distinct & U64(1) == 1) & (sums[1] > 0)).sum())
+    found = []
+    for r, k, end in zip(rows, keys, ends, strict=True):
+        if r["background"]:
+            own = at[end - len(k) : end]
+            found.append((r["block"], r["bucket"], 0 if found else words, _packed(sums[0][own]), _packed(sums[1][own])))
+    columns = list(zip(*found, strict=True)) if found else [[]] * 5
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["block", "bucket", "n_words", "t", "b"])
+
+
+def _written(df: DataFrame, uri: str) -> DataFrame:
+    """``df``, whose rows are few and large, as a Parquet table in pages of a row or so; its numbers are packed already."""
+    pages = {"compression": "uncompressed", "parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false", "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+    df.write.mode("overwrite").options(**pages).parquet(uri)
+    return df.sparkSession.read.schema(df.schema).parquet(uri)
+
+
+def losses(own: Block, counts: np.ndarray, total: int, size: int) -> np.ndarray:
+    """-log p(word | previous word) of a block's pairs, interpolated with the unigram estimate.
+
+    A word is followed as often as it occurs, and a text begins as often as one ends.
+    """
+    words = len(counts) - len(own.now)
+    word, pair = counts[:words], counts[words:]
+    single = (word[own.now] + ADDED) / (total + ADDED * size)
+    before = word[own.before]
     weight = np.where(before > 0, WEIGHT, 0.0)
-    return -np.log(weight * pair + (1 - weight) * single)
+    return -np.log(weight * (pair / np.maximum(before, 1)) + (1 - weight) * single)
 
 
 def score(spark: SparkSession, docs: DataFrame, target: DataFrame, size: int = VOCABULARY) -> DataFrame:
     """One row per document: doc_id, n_tokens, target_loss, background_loss, score, the last three rounded to six digits."""
     common.prepare(spark)
-    coder = Coder(vocabulary(docs, size))
-    models = spark.sparkContext.broadcast((losses(bigrams(target, coder)), losses(bigrams(docs, coder))))
-
-    def run(batches):
-        t, g = models.value
-        for batch in batches:
-            body, offsets = common.text_column(batch.column("text"))
-            ids = batch.column("doc_id")
-            for a, b in common.pieces(offsets):
-                rows, before, now = coder.pairs(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                n = np.bincount(rows, minlength=b - a)
-                sums = [np.bincount(rows, weights=m[before, now], minlength=b - a) / n for m in (t, g)]
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(n), *map(pa.array, sums)], ["doc_id", "n_tokens", "t", "b"])
-
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, t double, b double")
+    known = None
+    if size < VOCABULARY:
+        body, offsets = common.text_column(pa.array(vocabulary(docs, size), pa.large_string()))
+        known = run_hashes(body, offsets[:-1], offsets[1:])
+    buckets = 2 * common.shuffle_partitions(spark)
+    folder = common.scratch(spark, "cross-entropy")
+    of_docs = blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), True, known)
+    of_target = blocks(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), False, known)
+    rows = _written(of_docs.unionByName(of_target), f"{folder}/blocks")
+    found = asked(rows, buckets).groupBy("bucket").applyInArrow(totals, "block long, bucket int, n_words long, t binary, b binary")
+    found = _written(found, f"{folder}/counts")
+    sums = {r["background"]: r["n"] for r in rows.groupBy("background").agg(F.sum("n_tokens").alias("n")).collect()}
+    total = [sums.get(False, 0), sums.get(True, 0)]
+    # the mark is among the words counted; the mark and the unknown word are in the vocabulary besides the words
+    told = len(known) if known is not None else (found.agg(F.sum("n_words")).first()[0] or 1) - 1
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        r = left.to_pylist()[0]
+        own = Block(r["words"], r["tokens"], buckets)
+        n = _unpacked(r["lengths"])
+        first = np.cumsum(n) - n
+        replies = sorted(right.select(["bucket", "t", "b"]).to_pylist(), key=lambda x: x["bucket"])
+        means = []
+        for name, tokens in zip("tb", total, strict=True):
+            counts = np.zeros(len(own.keys), np.int64)
+            counts[own.order] = np.concatenate([_unpacked(x[name]) for x in replies])
+            means.append(np.add.reduceat(losses(own, counts, tokens, told + 2)[own.token_pair], first) / n)
+        return pa.Table.from_arrays([pa.array(r["ids"], pa.int64()), pa.array(n), *map(pa.array, means)], ["doc_id", "n_tokens", "t", "b"])
+
+    scored = rows.where("background").select("block", "ids", "lengths", "words", "tokens")
+    out = scored.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, "doc_id long, n_tokens long, t double, b double")
     return out.select("doc_id", "n_tokens", F.round("t", 6).alias("target_loss"), F.round("b", 6).alias("background_loss"), F.round(F.col("t") - F.col("b"), 6).alias("score"))
 
 

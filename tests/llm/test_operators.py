@@ -391,6 +391,20 @@ def test_cross_entropy_difference(spark, docs, nothing):
     assert moore_lewis.score(spark, docs, target).count() == len(DOCS) and moore_lewis.score(spark, nothing, target.limit(0)).count() == 0
 
 
+def test_cross_entropy_tells_rare_words_apart(spark):
+    frequent = " ".join(f"f{k} f{k}" for k in range(1500))
+    target = spark.createDataFrame([(1, "quark gluon quark gluon")], "item_id long, text string")
+    corpus = [(1, frequent), (2, "quark gluon"), (3, "plumb gusset"), (4, None)]
+    got = {r.doc_id: r for r in moore_lewis.score(spark, spark.createDataFrame(corpus, "doc_id long, text string").repartition(3), target).collect()}
+    size, total = 1500 + 4 + 2, 5  # one text of the target: begin, four words, end
+    single = lambda n: (n + 0.5) / (total + 0.5 * size)
+    want = [0.7 + 0.3 * single(2), 0.7 + 0.3 * single(2), 0.35 + 0.3 * single(1)]  # <s> quark, quark gluon, gluon </s>
+    assert got[2].target_loss == pytest.approx(-sum(map(math.log, want)) / 3, abs=2e-6)
+    want = [0.3 * single(0), single(0), single(1)]
+    assert got[3].target_loss == pytest.approx(-sum(map(math.log, want)) / 3, abs=2e-6)
+    assert got[2].score < got[3].score and got[2].background_loss == got[3].background_loss
+
+
 # 8
 def check_packing(rows, texts, size, tokenizer, end):
     ids = {}
