@@ -65,7 +65,7 @@ KNOWN = {
 
 #: SHA-256 of the canonical form of the texts that Debian ships in /usr/share/common-licenses.
 KNOWN_DIGESTS: dict[str, str] = {
-    "Apache-2.0": "95f35d79ea3bab75c250549d6a03cef242e0547d78c99e26fcede49936fb0184",
+    "Apache-2.0": "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2",
     "Artistic": "64e91f5cc481723b420f8e1ecf131ec7eba02da96cf0a78bb4b764fb30984f7a",
     "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
     "GFDL-1.2": "b6270c129be9b0e0172ebf4f39b974d927f155b0569e6689a4fd15068977ecdd",

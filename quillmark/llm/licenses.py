@@ -30,8 +30,17 @@ EQUIVALENT = {
     "organisation": "organization", "organise": "organize", "per cent": "percent", "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize",
     "signalling": "signaling", "sub license": "sublicense", "utilisation": "utilization", "whilst": "while", "wilful": "wilfull", "https": "http",
 }
-#: A line that states a copyright: the word, the sign or "(c)" first, then a year, a name or the sign.
-_NOTICE = "(^|\n)[^a-z0-9\n]*(copyright[ \t]*(\\(c\\)|©|[0-9])|copyright[ \t]+<|\\(c\\)[ \t]*[0-9]|©|all rights reserved)[^\n]*"
+#: Words after "copyright" in running text, so that a line which a wrapped text begins with both is no notice.
+_BODY = (
+    "and|are|as|assignments?|disclaimers?|doctrines?|except|exceptions?|from|holders?(?:hips?)?|if|in|interests?|is|laws?|licen[cs]es?|notices?|of|on|or|owners?(?:hips?)?"
+    "|permissions?|protection|resulting|statements?|than|that|the[ \t]+(?:software|library|program)|to|treat(?:y|ies)|under|when|which|with"
+)
+#: A line of running text, which stays as group 1; or one that states a copyright: the word, the sign or "(c)" first, then a
+#: year, a name, a bracket, a colon or the sign. Read by Java and RE2, so without looking ahead.
+_NOTICE = (
+    f"((?:^|\n)[^a-z0-9\n]*copyright[ \t]+(?:{_BODY})\\b[^\n]*)|(?:^|\n)[^a-z0-9\n]*(?:(?:portions[ \t]+(?:are[ \t]+)?)?copyright(?:[ \t]*(?:\\(c\\)|©|[0-9:<{{\\[])"
+    "|[ \t]+[^\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f])|\\(c\\)[ \t]*(?:[0-9]|copyright)|©|all rights reserved)[^\n]*"
+)
 #: Runs of ASCII characters that are no letter or digit, and of general punctuation.
 _GAPS = "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0\u00a9\u00ab\u00b7\u00bb\u2010-\u2015\u2018-\u201f\u2022\u2026]+"
 

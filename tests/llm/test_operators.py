@@ -79,6 +79,32 @@ def test_license_digests(spark):
     assert all(r.license_id == r.doc_id for r in got.collect())
 
 
+NOTICES = [
+    "Copyright The Go Authors", "Copyright Jane Doe", "Copyright Will Smith. All rights reserved.", "Copyright: 2020 X", "Copyright [yyyy] [name of copyright owner]",
+    "Portions Copyright (c) 2010 X", "(c) Copyright 2011 Y", " * Copyright {yyyy} {name}\n * Copyright 2012 Émile",
+]
+
+
+@pytest.mark.skipif(not os.path.exists("/usr/share/common-licenses/GPL-3"), reason="no licence texts here")
+def test_license_notices(spark):
+    import textwrap
+
+    shipped = {k: open(f"/usr/share/common-licenses/{k}", encoding="utf-8", errors="replace").read() for k in license_texts.KNOWN_DIGESTS}
+    known = {**license_texts.KNOWN, **shipped}
+    rows = [(k, f"{notice}\n\n{text}") for k, text in known.items() for notice in NOTICES]
+    # every "copyright" of the running text begins a line once
+    rows += [(k, textwrap.fill(" ".join(text.split()), width)) for k, text in license_texts.KNOWN.items() for width in range(40, 60)]
+    line = "   Copyright [yyyy] [name of copyright owner]"
+    assert line in shipped["Apache-2.0"]
+    rows += [("Apache-2.0", shipped["Apache-2.0"].replace(line, filled)) for filled in ("   Copyright 2020 Example Authors", "   Copyright Jane Doe", "")]
+    got = licenses.scan(spark, spark.createDataFrame(rows, "doc_id string, text string")).where("license_id is null or license_id <> doc_id")
+    assert [r.doc_id for r in got.collect()] == []
+    # where a wrapped line begins with the word, it stays
+    broken = [(k, text, text.replace("copyright", "\ncopyright").replace("Copyright ", "\nCopyright ")) for k, text in shipped.items() if k in ("CC0-1.0", "Artistic", "MPL-2.0")]
+    forms = spark.createDataFrame(broken, "id string, a string, b string").select("id", (licenses.canonical(F.col("a")) == licenses.canonical(F.col("b"))).alias("same"))
+    assert [r.id for r in forms.where("not same").collect()] == []
+
+
 # 2
 @pytest.fixture(scope="module")
 def byte_tokenizer():
