@@ -87,21 +87,33 @@ def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] |
     return rows.repartitionById(n, part).sortWithinPartitions("shuffle_key", "doc_id")
 
 
-#: Equal weights, seed and digits as above.
-SQL = """
+def _sql_uniform(*parts: str) -> str:
+    return f"CAST(CAST('0x' || SUBSTR(MD5(CONCAT_WS(CHR(31), '{SEED}', {', '.join(parts)})), 1, {DIGITS}) AS BIGINT) AS DOUBLE) / {float(16**DIGITS)}"
+
+
+_ROW = "COALESCE(CAST(doc_id AS VARCHAR), CHR(0))", "COALESCE(MD5(text), CHR(0))"
+#: Equal weights, seed and digits as above. A part's rate is at most MOST_RATE, and 400 steps reach past any number it draws.
+SQL = f"""
 WITH sums AS (SELECT source, CAST(SUM(LENGTH(COALESCE(text, ''))) AS DOUBLE) AS size FROM documents GROUP BY source),
 whole AS (SELECT SUM(size) AS all_size, CAST(COUNT(*) FILTER (WHERE size > 0) AS DOUBLE) AS n FROM sums),
 rates AS (SELECT source, CASE WHEN size > 0 THEN 1.0 / n * all_size / size ELSE 1.0 END AS rate FROM sums, whole),
-RECURSIVE_STEPS AS (
-  SELECT source, rate, k, SUM(EXP(-rate + k * LN(rate) - LGAMMA(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below
-  FROM rates, (SELECT UNNEST(RANGE(0, 400)) AS k)),
-drawn AS (
-  SELECT d.*, CAST(CAST('0x' || SUBSTR(MD5(CONCAT_WS(CHR(31), 'mix-1', CAST(doc_id AS VARCHAR), MD5(text))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
-  FROM documents d),
+parted AS (SELECT source, rate, CAST(GREATEST(1, CEIL(rate / {MOST_RATE})) AS BIGINT) AS parts FROM rates),
+steps AS (
+  SELECT source, k, SUM(EXP(-part + k * LN(part) - LGAMMA(k + 1))) OVER (PARTITION BY source ORDER BY k) AS below
+  FROM (SELECT source, rate / parts AS part FROM parted), (SELECT UNNEST(RANGE(0, 400)) AS k)),
+lists AS (SELECT source, LIST(below ORDER BY k) AS belows FROM steps GROUP BY source),
+draws AS (
+  SELECT d.*, r.rate, l.belows, UNNEST(RANGE(1, r.parts + 1)) AS part, ROW_NUMBER() OVER () AS row_no
+  FROM documents d JOIN parted r ON r.source IS NOT DISTINCT FROM d.source JOIN lists l ON l.source IS NOT DISTINCT FROM d.source),
+numbers AS (
+  SELECT *, CASE WHEN part = 1 THEN {_sql_uniform(*_ROW)}
+    ELSE {_sql_uniform("'part'", *_ROW, "CAST(part AS VARCHAR)")} END AS u FROM draws),
 counted AS (
-  SELECT doc_id, text, lang, d.source, n_chars, r.rate, (SELECT COUNT(*) FROM RECURSIVE_STEPS s WHERE s.source = d.source AND s.below <= d.u) AS n_copies
-  FROM drawn d JOIN rates r ON r.source = d.source)
-SELECT doc_id, text, lang, source, n_chars, ROUND(rate, 9) AS rate, CAST(n_copies AS INTEGER) AS n_copies, CAST(c.copy AS INTEGER) AS copy,
-  CAST(CAST('0x' || SUBSTR(MD5(CONCAT_WS(CHR(31), 'mix-1', CAST(doc_id AS VARCHAR), MD5(text), CAST(c.copy AS VARCHAR))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS shuffle_key
-FROM counted, (SELECT UNNEST(RANGE(1, 400)) AS copy) c WHERE c.copy <= n_copies
+  SELECT row_no, ANY_VALUE(doc_id) AS doc_id, ANY_VALUE(text) AS text, ANY_VALUE(lang) AS lang, ANY_VALUE(source) AS source, ANY_VALUE(n_chars) AS n_chars, ANY_VALUE(rate) AS rate,
+    SUM(LEN(LIST_FILTER(belows, lambda c: c <= u))) AS n_copies
+  FROM numbers GROUP BY row_no),
+copies AS (SELECT *, UNNEST(RANGE(1, CAST(n_copies AS BIGINT) + 1)) AS copy FROM counted)
+SELECT doc_id, text, lang, source, n_chars, ROUND(rate, 9) AS rate, CAST(n_copies AS INTEGER) AS n_copies, CAST(copy AS INTEGER) AS copy,
+  {_sql_uniform(*_ROW, "CAST(copy AS VARCHAR)")} AS shuffle_key
+FROM copies
 """

@@ -496,6 +496,22 @@ def test_mixing(spark, docs, nothing):
     assert s[0] == pytest.approx(math.exp(-3)) and s[-1] == pytest.approx(1.0) and s == sorted(s)
 
 
+def test_mixing_sql(spark):
+    import duckdb
+
+    rows = [*[(i, f"text {i} " + "x" * 2000, "en", "big", i) for i in range(60)], *[(100 + i, "rare text", "de", None, i) for i in range(9)], (200, "tiny", "fr", "small", 4), (None, None, None, "small", None), (201, None, None, "void", 0)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    got = mixing.mix(spark, spark.createDataFrame(rows, kind)).withColumn("rate", F.round("rate", 9))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    names = ", ".join(got.columns)
+    key = lambda r: tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+    want = con.execute(f"SELECT {names} FROM ({mixing.SQL})").fetchall()
+    assert sorted(map(key, map(tuple, got.collect())), key=repr) == sorted(map(key, want), key=repr)
+    assert max(r[names.split(", ").index("n_copies")] for r in want) > 399 and any(r[names.split(", ").index("source")] is None for r in want)
+
+
 # 10
 PAGES = [
     (5, "http://a.example/x y", "<p>one</p>"), (2, "http://b.example/", "<p>one</p>"), (9, None, None), (7, "", ""), (1, "http://c.example/\n", "é" * 50_000),
