@@ -206,12 +206,11 @@ def period_gaps(spark, sf):
 
 @query("""SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY user_id, event_type""")
 def upsert_latest(spark, sf):
-    """The later half of the events upserted into the earlier half."""
+    """The later half of the events upserted into the state after the earlier half."""
     rows = table(spark, sf, "events").withColumn("seq", F.struct("ts", "event_id"))
-    first = lambda df: state.upsert(df.limit(0), df, ["user_id", "event_type"], "seq")
-    old, new = rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1")
-    both = old.unionByName(new)
-    return first(both).select("user_id", "event_type", "value", "ts")
+    key, half = ["user_id", "event_type"], "coalesce(ts < timestamp_ntz'2024-01-15', true)"
+    stored = state.upsert(rows.limit(0), rows.where(half), key, "seq")
+    return state.upsert(stored, rows.where(f"not ({half})"), key, "seq").select("user_id", "event_type", "value", "ts")
 
 
 @query("SELECT event_type, count(*) AS n FROM events WHERE event_type <> (SELECT min(event_type) FROM events) GROUP BY event_type")

@@ -43,6 +43,18 @@ def test_query_without_sql_runs(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 
 
+def test_upsert_latest_replaces_stored_rows(spark, monkeypatch):
+    from quillmark.operators import state
+
+    calls, real = [], state.upsert
+    monkeypatch.setattr(state, "upsert", lambda current, changes, key, order: calls.append((current, changes, key)) or real(current, changes, key, order))
+    out = entry.queries()["upsert_latest"](spark, SF)
+    current, changes, key = calls[-1]
+    stored = current.count()
+    replaced = current.join(changes.select(*key).distinct(), key, "left_semi").count()
+    assert 0 < replaced and changes.count() > 0 and out.count() >= stored
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
