@@ -95,20 +95,21 @@ class Reader:
                 yield doc_id, self.frame(k)
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bool) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, end_id: int, special_as_text: bool = False) -> DataFrame:
     """(doc_id, size, checksum, frame): every document as one compressed frame."""
 
     def run(batches):
-        enc, end = encoder(tokenizer, leading_space), struct.pack("<I", end_id)
-        compressor = zstandard.ZstdCompressor(level=3)
+        enc, compressor = encoder(tokenizer, special_as_text), zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = batch.column("text")
-            for first in range(0, len(batch), 512):
-                contents = [enc.encode(t or "") + end for t in texts.slice(first, 512).to_pylist()]
+            body, offsets = common.text_column(batch.column("text"))
+            for a, b in common.pieces(offsets):
+                ids, bounds = enc.encode(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
+                data, at = memoryview(ids.astype("<u4").view(np.uint8)), (4 * bounds).tolist()
+                contents = [data[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(first, 512),
-                        pa.array([len(c) for c in contents], pa.int64()),
+                        batch.column("doc_id").slice(a, b - a),
+                        pa.array(4 * np.diff(bounds)),
                         pa.array([xxhash.xxh64_intdigest(c) & 0xFFFFFFFF for c in contents], pa.int64()),
                         pa.array(map(compressor.compress, contents), pa.binary()),
                     ],
@@ -135,12 +136,12 @@ def _in_order(docs: DataFrame, frames: DataFrame, files: int) -> DataFrame:
     return frames.repartitionById(len(cuts) + 1, part.cast("int")).sortWithinPartitions("doc_id", "size", "checksum", "frame")
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, leading_space: bool = True, files: int | None = None) -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, special_as_text: bool = False, files: int | None = None) -> DataFrame:
     """Write the files; returns the manifest (part, seq, path, documents, tokens), which names those that count."""
     spark = docs.sparkSession
     common.prepare(spark)
     files = files or common.shuffle_partitions(spark)
-    frames = _in_order(docs, encode(docs, tokenizer, end_id, leading_space), files)
+    frames = _in_order(docs, encode(docs, tokenizer, end_id, special_as_text), files)
 
     def run(batches):
         from pyspark import TaskContext
