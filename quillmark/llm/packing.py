@@ -1,22 +1,25 @@
 """Operator 8, packing: deficit round-robin over source queues fills sequences to target token proportions.
 
 Each source is a queue of its documents' ids. In a round every queue earns its share of one sequence's tokens as
-deficit, sends the whole tokens of what it has earned, and carries the fraction on. Rounds follow one another without
-a gap and are cut into sequences, so each sequence holds the target proportions to within a token a source and round.
-When a queue runs empty the others share its part: an epoch ends and new quanta hold.
-
-What a queue has sent by a round is a closed form of the round number, so no task waits for another: a document's
-place follows from its offset in its queue alone, and deficits carry across sequences and partitions exactly. Only
-sums by (task, source) are gathered; a source with most of the rows is spread over all tasks.
+deficit, sends as many whole bursts of ``BURST`` tokens as it has earned, and carries the rest on. Rounds follow one
+another without a gap and are cut into sequences, so each sequence holds the target proportions to within two bursts a
+source; a source that earns less than a burst a round sends once in several rounds, so thousands of sources do not cut
+documents to crumbs. When a queue runs empty the others share its part from then on.
+
+What a queue has earned by a round follows from one number for all queues, the virtual time: tokens earned by a unit of
+weight. Virtual time is linear between the times at which queues run empty, so the round of a burst is a closed form of
+its place in its queue, and deficits carry across sequences and partitions exactly. Bursts are sorted by (round,
+source, place) in ranges of rounds, which are even as a round is a sequence's worth of tokens, however many rows one
+source has; what all queues sent before a range is again a closed form. So the plan is one row a source, and no task
+waits for another. Ids are shuffled once, two bytes each where the vocabulary allows.
 
 The remainder after the last full sequence is cut into powers of two, so that no padding is needed at all. A null or
-empty text has the end id alone. A null source is a queue of its own. Extra columns are not read. Repeated rows are
-packed once each.
+empty text has the end id alone. A null source is a queue of its own. Sources of no weight follow after all others, in
+the proportions of their tokens. Extra columns are not read. Repeated rows are packed once each.
 """
 
 from __future__ import annotations
 
-import struct
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -28,65 +31,57 @@ from pyspark.sql import functions as F
 from . import common
 from .tokens import encoder
 
-#: Quanta are held as integers of this many bits below the point.
-POINT = 16
-#: Sources whose sums the driver plans with; more are refused, as the plan is sent to every task.
-MOST_SOURCES = 100_000
+#: Tokens that a queue sends at once.
+BURST = 64
+#: Sources planned with, one row each on the driver and in every task; more are refused.
+MOST_SOURCES = 1_000_000
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Epochs of the round-robin. Rows: epochs; columns: sources in order of their names."""
+    """``tokens`` and ``weight`` of each source in order of the names; the lines between which virtual time is linear."""
 
     names: tuple[str | None, ...]
-    tokens: np.ndarray  # of each source
-    rounds: np.ndarray  # first round of each epoch, and the end
-    base: np.ndarray  # sent by each source before the epoch
-    quanta: np.ndarray  # in units of 2**-POINT tokens a round
-
-    def sent(self, r: np.ndarray) -> np.ndarray:
-        """Tokens of each source sent before round ``r``: an array of rounds by sources."""
-        e = np.clip(np.searchsorted(self.rounds, r, "right") - 1, 0, len(self.base) - 1)
-        return np.minimum(self.base[e] + ((r - self.rounds[e])[:, None] * self.quanta[e] >> POINT), self.tokens)
-
-    def round_of(self, s: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The round that sends token ``at`` of source ``s``."""
-        e = np.zeros(len(s), np.int64)
-        for k in np.unique(s):
-            own = s == k
-            e[own] = np.searchsorted(self.base[:, k], at[own], "right") - 1
-        e = np.clip(e, 0, len(self.base) - 1)
-        q = np.maximum(1, self.quanta[e, s])
-        # the last round before which at most `at` tokens are sent
-        more = at - self.base[e, s] + 1
-        return self.rounds[e] + (((more << POINT) + q - 1) // q) - 1
-
-
-def plan(tokens: dict[str | None, int], weights: dict[str | None, float] | None, size: int) -> Plan:
-    """``weights``: target proportions by source; those of the corpus itself if not given. Sources without one get none until the others are empty."""
+    tokens: np.ndarray
+    weight: np.ndarray
+    size: int
+    burst: int
+    times: np.ndarray  # virtual times at which queues run empty, from 0
+    spent: np.ndarray  # tokens of all queues earned by then
+
+    def round_of(self, end: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The round by whose end a queue of ``weight`` has earned ``end`` tokens."""
+        earned = np.interp(end / weight, self.times, self.spent)
+        return np.clip(np.ceil(earned / self.size).astype(np.int64) - 1, 0, max(0, self.rounds - 1))
+
+    @property
+    def rounds(self) -> int:
+        return -(-int(self.tokens.sum()) // self.size)
+
+    def sent(self, before: int) -> np.ndarray:
+        """Tokens that each queue has sent before a round."""
+        most = -(-self.tokens // self.burst)
+        end = lambda k: np.minimum(k * self.burst, self.tokens)
+        time = np.interp(float(before * self.size), self.spent, self.times)
+        k = np.minimum((time * self.weight // self.burst).astype(np.int64), most)
+        while True:  # a burst more or less where rounding says so
+            up = (k < most) & (self.round_of(end(k + 1), self.weight) < before)
+            down = (k > 0) & (self.round_of(end(k), self.weight) >= before)
+            if not (up | down).any():
+                return end(k)
+            k += up.astype(np.int64) - down.astype(np.int64)
+
+
+def plan(tokens: dict[str | None, int], weights: dict[str | None, float] | None, size: int, burst: int = BURST) -> Plan:
+    """``weights``: target proportions by source, all positive; those of the corpus itself if not given."""
     names = tuple(sorted(tokens, key=lambda s: (s is not None, s or "")))
     total = np.array([tokens[s] for s in names], np.int64)
-    want = np.array([float(tokens[s] if weights is None else weights.get(s, 0.0)) for s in names])
-    if (want < 0).any():
-        raise ValueError("a target weight is negative")
-    rounds, base, quanta, sent = [0], [], [], np.zeros(len(names), np.int64)
-    while (sent < total).any():
-        open_ = sent < total
-        share = np.where(open_, want, 0.0)
-        if share.sum() == 0:
-            share = np.where(open_, (total - sent).astype(float), 0.0)
-        q = np.where(share > 0, np.maximum(1, np.floor(share / share.sum() * size * (1 << POINT)).astype(np.int64)), 0)
-        left = total - sent
-        # rounds until the first queue is empty
-        lasts = np.array([-(-(int(n) << POINT) // int(k)) if k else 0 for n, k in zip(left, q, strict=True)], dtype=object)
-        n = int(min(x for x, k in zip(lasts, q, strict=True) if k))
-        base.append(sent.copy())
-        quanta.append(q)
-        rounds.append(rounds[-1] + n)
-        sent = sent + np.minimum(left, np.array([(n * int(k)) >> POINT for k in q], np.int64))
-    if not base:
-        base, quanta = [sent], [sent]
-    return Plan(names, total, np.array(rounds, np.int64), np.array(base, np.int64), np.array(quanta, np.int64))
+    weight = np.array([float((weights or tokens)[s]) for s in names])
+    empty = total / weight
+    order = np.argsort(empty, kind="stable")
+    open_ = np.cumsum(weight[order][::-1])[::-1]  # of the queues not yet empty
+    spent = np.cumsum(np.diff(empty[order], prepend=0.0) * open_)
+    return Plan(names, total, weight, size, burst, np.concatenate([[0.0], empty[order]]), np.concatenate([[0.0], spent]))
 
 
 def tails(rest: int) -> list[int]:
@@ -94,55 +89,56 @@ def tails(rest: int) -> list[int]:
     return [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def place(p: Plan, s: np.ndarray, start: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
-    """Where runs of tokens go: ``n[i]`` from ``start[i]`` of source ``s[i]``. Of each piece: its run, start within the run, length, sequence, offset."""
-    first_r, last_r = p.round_of(s, start), p.round_of(s, start + n - 1)
-    count = last_r - first_r + 1
-    run = np.repeat(np.arange(len(s)), count)
-    r = first_r[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
-    rounds, which = np.unique(r, return_inverse=True)
-    before, after = p.sent(rounds), p.sent(rounds + 1)
-    step = after - before
-    base = before.sum(1)[:, None] + np.cumsum(step, axis=1) - step  # where each source begins in a round
-    src = s[run]
-    lo, hi = np.maximum(before[which, src], start[run]), np.minimum(after[which, src], (start + n)[run])
-    at = base[which, src] + lo - before[which, src]
-    keep = hi > lo
-    run, lo, length, at = run[keep], lo[keep], (hi - lo)[keep], at[keep]
-    # cut at sequence bounds
-    total = int(p.tokens.sum())
+def _ranges(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``count[i]`` items from ``first[i]``: i and the item."""
+    which = np.repeat(np.arange(len(count)), count)
+    return which, first[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def bursts(p: Plan, weight: np.ndarray, total: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of ``n[i]`` tokens from ``start[i]`` of a queue by rounds. Of each piece: its run, start within the run, length, round."""
+    first = start // p.burst
+    run, k = _ranges(first, (start + n - 1) // p.burst - first + 1)
+    r = p.round_of(np.minimum((k + 1) * p.burst, total[run]), weight[run])
+    lo, hi = np.maximum(k * p.burst, start[run]), np.minimum((k + 1) * p.burst, (start + n)[run])
+    new = np.ones(len(run), bool)  # bursts of one run and round are one piece
+    new[1:] = (run[1:] != run[:-1]) | (r[1:] != r[:-1])
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(run)) - 1
+    return run[at], lo[at] - start[run[at]], hi[last] - lo[at], r[at]
+
+
+def place(at: np.ndarray, length: np.ndarray, total: int, size: int) -> tuple[np.ndarray, ...]:
+    """Pieces from ``at`` of the stream cut at sequence bounds: which piece, start within it, length, sequence, offset."""
     full = total // size
     bounds = full * size + np.cumsum([0, *tails(total - full * size)])
     number = lambda x: np.where(x < full * size, x // size, full + np.searchsorted(bounds, x, "right") - 1)
     first = number(at)
-    count = number(at + length - 1) - first + 1
-    rep = np.repeat(np.arange(len(at)), count)
-    seq = first[rep] + np.arange(len(rep)) - np.repeat(np.cumsum(count) - count, count)
+    which, seq = _ranges(first, number(at + length - 1) - first + 1)
     begin = np.where(seq < full, seq * size, bounds[np.clip(seq - full, 0, len(bounds) - 1)])
     end = np.where(seq < full, begin + size, bounds[np.clip(seq - full + 1, 0, len(bounds) - 1)])
-    a, b = np.maximum(at[rep], begin), np.minimum(at[rep] + length[rep], end)
-    run = run[rep]
-    return run, lo[rep] + a - at[rep] - start[run], b - a, seq, a - begin
+    a, b = np.maximum(at[which], begin), np.minimum((at + length)[which], end)
+    return which, a - at[which], b - a, seq, a - begin
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bool) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, end_id: int, kind: str, special_as_text: bool = False) -> DataFrame:
     """(doc_id, source, part, before, n, ids): ids of each document and the tokens of its source before it in its task."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, seen, enc, end = TaskContext.get().partitionId(), {}, encoder(tokenizer, leading_space), struct.pack("<I", end_id)
+        part, seen, enc = TaskContext.get().partitionId(), {}, encoder(tokenizer, special_as_text)
         for batch in batches:
-            for first in range(0, len(batch), 512):
-                cut = batch.slice(first, 512)
-                ids = [enc.encode(t or "") + end for t in cut.column("text").to_pylist()]
-                n = [len(x) // 4 for x in ids]
+            body, offsets = common.text_column(batch.column("text"))
+            for a, b in common.pieces(offsets):
+                ids, bounds = enc.encode(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end_id)
+                cut, n = batch.slice(a, b - a), np.diff(bounds)
                 before = []
-                for s, k in zip(cut.column("source").to_pylist(), n, strict=True):
+                for s, k in zip(cut.column("source").to_pylist(), n.tolist(), strict=True):
                     before.append(seen.get(s, 0))
                     seen[s] = before[-1] + k
                 yield pa.RecordBatch.from_arrays(
-                    [cut.column("doc_id"), cut.column("source"), pa.array([part] * len(n), pa.int32()), pa.array(before, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
+                    [cut.column("doc_id"), cut.column("source"), pa.array([part] * len(n), pa.int32()), pa.array(before, pa.int64()), pa.array(n), _binary(ids.astype(kind), bounds)],
                     ["doc_id", "source", "part", "before", "n", "ids"],
                 )
 
@@ -150,41 +146,101 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bool) ->
     return rows.mapInArrow(run, "doc_id long, source string, part int, before long, n long, ids binary")
 
 
+def _binary(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(np.ascontiguousarray(bounds * ids.itemsize, np.int64)), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
+
+
+def _joined(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows in a row, and the bounds of each."""
+    whole = column.cast(pa.large_binary())
+    _, offsets, body = whole.buffers()
+    at = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return np.frombuffer(body, np.uint8)[at[0] : at[-1]].view(kind), (at - at[0]) // np.dtype(kind).itemsize
+
+
 def pack(
-    spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 4096, weights: dict[str | None, float] | None = None, leading_space: bool = False
+    spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 4096, weights: dict[str | None, float] | None = None, burst: int = BURST, special_as_text: bool = False
 ) -> DataFrame:
     """One row per piece: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     folder = common.scratch(spark, "packing")
-    coded = common.written(encode(docs, tokenizer, end_id, leading_space), f"{folder}/ids")
+    kind = "<u2" if max(encoder(tokenizer, special_as_text).tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
+    coded = common.written(encode(docs, tokenizer, end_id, kind, special_as_text), f"{folder}/ids")
     sums = common.written(coded.groupBy("part", "source").agg(F.sum("n").alias("n")), f"{folder}/sums")
     totals = sums.groupBy("source").agg(F.sum("n").alias("n"))
     if not common.fits(totals, MOST_SOURCES):
         raise ValueError(f"more than {MOST_SOURCES} sources: give a coarser source column")
-    the_plan = plan({r["source"]: r["n"] for r in totals.collect()}, weights, size)
-    index = {name: k for k, name in enumerate(the_plan.names)}
-    # a row for each task and source: where the task's part of the queue begins
-    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select("part", "source", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("begin"))
-    begins = common.written(begins.select(F.col("part").alias("_p"), F.col("source").alias("_s"), "begin"), f"{folder}/begins")
+    tokens = {r["source"]: r["n"] for r in totals.collect()}
+    want = {s: float(n) if weights is None else weights.get(s, 0.0) for s, n in tokens.items()}
+    if min(want.values(), default=0) < 0:
+        raise ValueError("a target weight is negative")
+    first = plan({s: n for s, n in tokens.items() if want[s]}, want, size, burst)
+    after = plan({s: n for s, n in tokens.items() if not want[s]}, None, size, burst)  # a second round-robin, once the first is over
+    total, lead = sum(tokens.values()), int(first.tokens.sum())
+    rounds = first.rounds + after.rounds + 1
+    ranges = max(1, min(common.shuffle_partitions(spark), rounds))
 
-    def run(batches):
+    def spent(r: int) -> int:
+        """Tokens sent before round ``r``."""
+        return int(first.sent(r).sum()) if r < first.rounds else lead + int(after.sent(r - first.rounds).sum())
+
+    begins_at = [spent(-(-k * rounds // ranges)) for k in range(ranges)]
+    # a row for each task and source: where the task's part of the queue begins
+    of_source = Window.partitionBy("source")
+    ahead = of_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sums.select(F.col("part").alias("_p"), F.col("source").alias("_s"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("begin"), F.sum("n").over(of_source).alias("total"))
+    given = spark.createDataFrame([(s, float(w)) for s, w in (weights or {}).items()], "_w string, weight double")
+    if weights is None:
+        begins = begins.withColumn("weight", F.col("total").cast("double"))
+    else:
+        begins = begins.join(given, F.col("_s").eqNullSafe(F.col("_w")), "left").drop("_w").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+    begins = common.written(begins, f"{folder}/begins")
+
+    def cut(batches):
         for batch in batches:
-            for first in range(0, len(batch), 1024):
-                cut = batch.slice(first, 1024)
-                n, begin = np.asarray(cut.column("n")), np.asarray(cut.column("at"))
-                source = np.array([index[x] for x in cut.column("source").to_pylist()], np.int64)
-                doc, start, length, seq, offset = place(the_plan, source, begin, n, size)
-                views = [memoryview(x) for x in cut.column("ids").to_pylist()]
-                crcs = [crc32(views[d][a:b]) for d, a, b in zip(doc.tolist(), (4 * start).tolist(), (4 * (start + length)).tolist(), strict=True)]
-                row = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [cut.column("doc_id").take(row), cut.column("source").take(row), *map(pa.array, (start, length)), pa.array(crcs, pa.int64()), *map(pa.array, (n[doc], seq, offset))],
-                    ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-                )
+            if not len(batch):
+                continue
+            n, begin, own_total, weight = (np.asarray(batch.column(c)) for c in ("n", "at", "total", "weight"))
+            parts = []
+            for p, rows, w, shift in ((first, np.flatnonzero(weight > 0), weight, 0), (after, np.flatnonzero(weight == 0), own_total.astype(float), first.rounds)):
+                if len(rows):
+                    run, start, length, r = bursts(p, w[rows], own_total[rows], begin[rows], n[rows])
+                    parts.append((rows[run], start, length, r + shift))
+            run, start, length, r = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((start, run))
+            run, start, length, r = run[order], start[order], length[order], r[order]
+            (ids, _), row = _joined(batch.column("ids"), kind), pa.array(run)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r), batch.column("source").take(row), pa.array(begin[run] + start), batch.column("doc_id").take(row), pa.array(start), pa.array(n[run]),
+                 _binary(ids, np.concatenate([[0], np.cumsum(length)]))],
+                ["round", "source", "queue_at", "doc_id", "start", "doc_tokens", "ids"],
+            )
 
     joined = coded.join(begins, (F.col("part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s")))
-    rows = joined.select("doc_id", "source", "n", "ids", (F.col("begin") + F.col("before")).alias("at"))
-    out = rows.mapInArrow(run, "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    rows = joined.select("doc_id", "source", "n", "ids", (F.col("begin") + F.col("before")).alias("at"), "total", "weight")
+    pieces = rows.mapInArrow(cut, "round long, source string, queue_at long, doc_id long, start long, doc_tokens long, ids binary")
+    number = F.floor(F.col("round") * ranges / F.lit(rounds)).cast("int")
+    dealt = pieces.repartitionById(ranges, number).sortWithinPartitions("round", "source", "queue_at")
+
+    def run(batches):
+        at = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            if at is None:
+                at = begins_at[batch.column("round")[0].as_py() * ranges // rounds]
+            ids, bounds = _joined(batch.column("ids"), kind)
+            which, begin, n, seq, offset = place(at + bounds[:-1], np.diff(bounds), total, size)
+            at += int(bounds[-1])
+            data, lo = memoryview(ids.astype("<u4").view(np.uint8)), bounds[which] + begin
+            crcs = [crc32(data[a:b]) for a, b in zip((4 * lo).tolist(), (4 * (lo + n)).tolist(), strict=True)]
+            row = pa.array(which)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(row), batch.column("source").take(row), pa.array(np.asarray(batch.column("start"))[which] + begin), pa.array(n), pa.array(crcs, pa.int64()),
+                 batch.column("doc_tokens").take(row), pa.array(seq), pa.array(offset)],
+                ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+            )
+
+    out = dealt.mapInArrow(run, "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     out = common.held(out)
     common.drop(spark, folder)
     return out

@@ -59,7 +59,6 @@ def test_stages(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/2").groupBy("doc_id").count().where("count > 1").isEmpty()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     check_packing(packed, [(r.doc_id, r.text) for r in docs.collect()], 4096, t, 2)
 
 
