@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -111,6 +111,17 @@ def pieces(offsets: np.ndarray, most: int = 2 << 20) -> Iterator[tuple[int, int]
         first = last
 
 
+def filtered(docs: DataFrame, chosen: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` marks in each Arrow batch, with all their columns and without a shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                yield batch.filter(pa.array(chosen(batch)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def stable_order(*cols: str):
     """A deterministic pseudo-random order key of a row."""
     return F.xxhash64(*[F.col(c).cast("string") for c in cols])

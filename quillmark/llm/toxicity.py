@@ -324,21 +324,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     return train([r[1] for r in rows], np.array([r[2] for r in rows], float))
 
 
+def _scores(texts: pa.Array, net: Network | None) -> np.ndarray:
+    """Scores of texts, by blocks of bounded size."""
+    body, offsets = common.text_column(texts)
+    if net is None:
+        return np.zeros(len(texts))
+    parts = [net.documents(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in common.pieces(offsets)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    spark = docs.sparkSession
-    common.prepare(spark)
-    net = fit(docs, labels)
-    sent = spark.sparkContext.broadcast(net)
+    common.prepare(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches):
-        net = sent.value
         for batch in batches:
-            body, offsets = common.text_column(batch.column("text"))
-            ids = batch.column("doc_id")
-            for a, b in common.pieces(offsets):
-                out = np.zeros(b - a) if net is None else net.documents(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(out)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), sent.value))], ["doc_id", "score"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, whole and without a shuffle; each row is judged by its own text."""
+    common.prepare(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    return common.filtered(docs, lambda batch: _scores(batch.column("text"), sent.value) < CUT)

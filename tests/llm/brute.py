@@ -44,3 +44,31 @@ def quality_base(text):
             dup += line in seen
             seen.add(line)
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), dup, len(covered)
+
+
+_BINS = {"symbols": (0.02, 0.08, 0.2), "upper": (0.1, 0.3, 0.6), "digits": (0.05, 0.2), "letters": (0.5, 0.7, 0.8), "marks": (0.03, 0.1), "words": (1.5, 3.5, 8.5, 20.5), "length": (3.0, 6.5, 9.0), "stutter": (0.05, 0.3)}
+
+
+def line_evidence(text):
+    """Of each line with a word: its words, its features, and its words of letters alone."""
+    out, seen, last = [], set(), None
+    for line in (text or "").split("\n"):
+        words = WORD.findall(line)
+        if not words:
+            continue
+        n, letters = len(line), [c for c in line if c.isascii() and c.isalpha() or c > "\x7f"]
+        share = lambda own: sum(c in own for c in line) / n  # noqa: B023, E731
+        figures = {
+            "symbols": share("#*$%&|<>"), "upper": sum("A" <= c <= "Z" for c in line) / max(1, len(letters)), "digits": share("0123456789"), "letters": len(letters) / n,
+            "marks": share("!?;=_~/\\^@{}()[]"), "words": len(words), "length": len(letters) / len(words),
+            "stutter": sum(a == b for a, b in zip([last, *words], words, strict=False)) / len(words),
+        }
+        x = [1.0]
+        for name, bins in _BINS.items():
+            place = sum(figures[name] >= b for b in bins)
+            x += [float(k == place) for k in range(len(bins) + 1)]
+        x += [float(line in seen), float("a" <= line[0] <= "z")]
+        seen.add(line)
+        last = words[-1]
+        out.append((len(words), x, re.findall("[a-zA-Z\x80-\U0010ffff]+", line)))
+    return out

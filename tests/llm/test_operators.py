@@ -108,35 +108,50 @@ def test_license_notices(spark):
 # 2
 @pytest.fixture(scope="module")
 def byte_tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@pytest.mark.parametrize("name,space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_pieces_give_the_ids_of_whole_texts(name, space):
-    e = tokens.encoder(public_tokenizers.path(name), space)
-    alphabet = st.sampled_from(list("abzAZéñß'’.,!#1290 \n\t  ́日ǅİΣς<|>") + ["  ", " \n", "\n\n", "'s", "don't", "<|endoftext|>", "word "])
+def encoded(e, texts, end=7):
+    body, offsets = common.text_column(pa.array(texts, pa.large_string()))
+    ids, bounds = e.encode(body, offsets, end)
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_units_give_the_ids_of_whole_texts(name, as_text):
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    if as_text:
+        plain.encode_special_tokens = True
+    e = tokens.Encoder(public_tokenizers.path(name), as_text)
+    alphabet = st.sampled_from(list("abzAZéñßÖ×÷'’.,!#1290 \n\t\x00\x1f\u00a0\u2003\u3000́日ǅİΣςªµ<|>") + ["  ", " \n", "\n\n", "'s", "don't", "<|endoftext|>", "word ", " Été", "x, ", "y\n"])
 
     @settings(max_examples=400, deadline=None)
-    @given(st.lists(alphabet, max_size=30).map("".join))
-    def check(text):
-        assert e.encode(text) == e.whole([text])[0]
+    @given(st.lists(st.lists(alphabet, max_size=30).map("".join), max_size=5))
+    def check(texts):
+        assert encoded(e, texts) == [[*plain.encode(t, add_special_tokens=False).ids, 7] for t in texts]
 
     check()
-    for _, text, *_ in DOCS:
-        assert e.encode(text or "") == (e.whole([text])[0] if text else b"")
+    texts = [r[1] for r in DOCS] + ["a <|endoftext|> b", "<|endoftext|>", "a <| b |> c"]
+    assert encoded(e, texts) == [[*plain.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+
+
+def test_long_texts_and_full_tables(monkeypatch, byte_tokenizer):
+    monkeypatch.setattr(tokens, "SEGMENT", 64)
+    monkeypatch.setattr(tokens, "MOST_UNITS", 5)
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for k in range(40):
+        texts = [" ".join(f"x{j} Wort, é{j}\nz" for j in range(k, k + 37)), "y" * 500 + " tail", "", "x1"]
+        assert encoded(e, texts) == [[*byte_tokenizer.encode(t, add_special_tokens=False).ids, 7] for t in texts]
 
 
-def test_cache_generations():
-    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
-    old, tokens.CACHE_PIECES = tokens.CACHE_PIECES, 5
-    try:
-        for k in range(40):
-            text = " ".join(f"x{j} y" for j in range(k, k + 7))
-            assert e.encode(text) == e.whole([text])[0]
-    finally:
-        tokens.CACHE_PIECES = old
+def test_a_rule_not_known_goes_through_the_library(tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    t = Tokenizer(models.BPE({"a": 0, "b": 1, "ab": 2}, [("a", "b")]))
+    t.pre_tokenizer = pre_tokenizers.Whitespace()
+    t.save(str(tmp_path / "t.json"))
+    assert encoded(tokens.Encoder(str(tmp_path / "t.json")), ["ab a", "", "bab"], 9) == [[2, 0, 9], [9], [1, 2, 9]]
 
 
 def test_token_files(spark, docs, nothing, byte_tokenizer):
@@ -367,16 +382,64 @@ def test_viterbi_is_the_best_path():
             assert tuple(got[a:b]) == max(itertools.product((0, 1), repeat=b - a), key=path)
 
 
-def test_field_learns_boilerplate(spark):
-    rng = random.Random(8)
+def line_corpus(rng):
     good = lambda: " ".join(rng.choice(["river", "stone", "walks", "under"]) for _ in range(12)) + "."
     bad = lambda: " | ".join(rng.choice(["HOME", "LOGIN", "CART", "HELP"]) for _ in range(12))
     rows = [(i, "\n".join((bad if i % 4 == 0 else good)() + f" {i}" for _ in range(5)), int(i % 4 != 0)) for i in range(200)]
-    mixed = [(1000, "\n".join([bad()] * 1 + [good() for _ in range(6)])), (1001, "\n".join([bad() + f" {k}" for k in range(6)] + [good()]))]
+    rows += [(200 + i, "\n".join([good(), good(), "Printed with kind leave.", good(), good()]), 1) for i in range(40)]
+    return rows, good, bad
+
+
+def test_field_labels_lines(spark):
+    rng = random.Random(8)
+    rows, good, bad = line_corpus(rng)
+    mixed = [(1000, "\n".join([bad()] * 1 + [good() for _ in range(6)])), (1001, "\n".join([bad() + f" {k}" for k in range(6)] + [good()])), (1002, "\n".join([good(), good(), "Printed with kind leave.", good()]))]
     docs = spark.createDataFrame([r[:2] for r in rows] + mixed, "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
-    got = {r.doc_id: r.kept for r in quality.judge(docs, labels).collect()}
-    assert got[1000] and not got[1001] and np.mean([got[i] == bool(y) for i, _, y in rows]) > 0.98
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert got[1000].kept and not got[1001].kept and np.mean([got[i].kept == bool(y) for i, _, y in rows]) > 0.98
+    # documents with lines of both kinds, in the sample and outside it
+    assert (got[1000].content_lines, got[1001].content_lines, got[1002].content_lines) == (6, 1, 3)
+    assert all(got[200 + i].content_lines == 4 for i in range(40))
+    assert {r.doc_id for r in quality.keep(docs, labels).collect()} == {i for i, r in got.items() if r.kept}
+
+
+def test_verdicts_equal_brute_force(monkeypatch):
+    """Emissions by a plain reading of each line, the best of all label sequences, and the share of words."""
+    import itertools
+
+    rng = random.Random(4)
+    rows, good, bad = line_corpus(rng)
+    shapes = [good, bad, lambda: "", lambda: "Printed with kind leave.", lambda: "a a a b", lambda: "É 12 (x) !? " + good()]
+    texts = [r[1] for r in rows] + ["\n".join(rng.choice(shapes)() for _ in range(rng.randrange(1, 9))) for _ in range(150)] + [None, " \n "]
+    body, offsets = common.text_column(pa.array([r[1] for r in rows], pa.large_string()))
+    made = quality.lines_of(body, offsets)
+    field, _ = quality.learn(made, made["line_row"], np.array([r[2] for r in rows]))
+    got = quality.figures(pa.array(texts, pa.large_string()), field)
+    both = 0
+    for k, t in enumerate(texts):
+        lines = brute.line_evidence(t)
+        emit = []
+        for _, x, terms in lines:
+            data = [term.translate(brute.LOWER).encode() for term in terms]
+            place = [int(X.run_hashes(np.frombuffer(d, np.uint8), np.array([0]), np.array([len(d)]))[0] % quality.BUCKETS) for d in data]
+            own = np.array(x) @ field.w
+            emit.append((own[0], own[1] + (np.mean(field.v[place]) if place else 0.0)))
+        path = lambda p: sum(emit[i][y] for i, y in enumerate(p)) + sum(field.trans[a, b] for a, b in zip(p, p[1:], strict=False))  # noqa: B023, E731
+        best = max(itertools.product((0, 1), repeat=len(lines)), key=path)
+        content = sum(n for (n, *_), y in zip(lines, best, strict=True) if y)
+        base = brute.quality_base(t)
+        assert (got["n_lines"][k], got["content_lines"][k], got["content_words"][k]) == (len(lines), sum(best), content)
+        assert got["kept"][k] == (base[0] >= 20 and 100 * base[4] <= 30 * base[0] and content >= 0.5 * base[0])
+        both += 0 < sum(best) < len(best)
+    assert both > 20
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the test tables are not here")
+def test_documents_with_lines_of_both_kinds(spark):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+    got = quality.judge(read("documents"), read("labels")).agg(F.avg(F.expr("int(content_lines > 0 and content_lines < n_lines)")).alias("both")).first()
+    assert got.both > 0.01
 
 
 # 7
@@ -456,23 +519,53 @@ def check_packing(rows, texts, size, tokenizer, end):
 def test_packing(spark, docs, nothing, weights):
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    rows = packing.pack(spark, docs, path, size=256, weights=weights).collect()
+    rows = packing.pack(spark, docs, path, size=256, weights=weights, burst=16).collect()
     check_packing(rows, [r[:2] for r in DOCS], 256, t, 2)
     assert packing.pack(spark, nothing, path).count() == 0
 
 
 def test_proportions_hold_in_every_sequence():
-    plan = packing.plan({"x": 70_000, "y": 20_000, "z": 10_000, None: 1}, None, 4096)
-    r = np.arange(20)
-    step = np.diff(plan.sent(np.arange(21)), axis=0)
+    plan = packing.plan({"x": 70_000, "y": 20_000, "z": 10_000, None: 1}, None, 4096, 1)
+    step = np.diff([plan.sent(r) for r in range(21)], axis=0)
     share = {n: step[:, k] for k, n in enumerate(plan.names)}
-    assert (np.abs(share["x"] - 0.7 * 4096) <= 1.1).all() and (np.abs(share["z"] - 0.1 * 4096) <= 1.1).all() and len(r) == 20
+    assert (np.abs(share["x"] - 0.7 * 4096) <= 1.1).all() and (np.abs(share["z"] - 0.1 * 4096) <= 1.1).all()
     # deficits are carried: the sums stay within a token of the target
     assert (np.abs(np.cumsum(share["y"]) - 0.2 * 4096 * np.arange(1, 21)) <= 2).all()
     assert packing.tails(13) == [8, 4, 1]
 
 
+@pytest.mark.parametrize("weights", [None, {"x": 1.0, "y": 1.0, "z": 2.0, "w": 0.5}])
+def test_rounds_equal_a_queue_by_queue_loop(weights):
+    """A plain deficit round-robin, one round after another, sends the same bursts in the same rounds."""
+    tokens_, size, burst = {"x": 9000, "y": 700, "z": 2511, "w": 1}, 512, 32
+    p = packing.plan(tokens_, weights, size, burst)
+    want, earned, sent, r = weights or tokens_, dict.fromkeys(tokens_, 0.0), dict.fromkeys(tokens_, 0), 0
+    while any(sent[s] < tokens_[s] for s in tokens_):
+        left = float(size)
+        while left > 1e-6 and (open_ := [s for s in tokens_ if earned[s] < tokens_[s] - 1e-6]):
+            unit = sum(want[s] for s in open_)
+            step = min(left / unit, *((tokens_[s] - earned[s]) / want[s] for s in open_))
+            for s in open_:
+                earned[s] += step * want[s]
+            left -= step * unit
+        for s in tokens_:
+            due = earned[s] + 1e-6
+            sent[s] = tokens_[s] if due >= tokens_[s] else int(due // burst) * burst
+        r += 1
+        assert dict(zip(p.names, p.sent(r).tolist(), strict=True)) == sent
+    assert r == p.rounds
+
+
+def test_packing_many_sources(spark):
+    rows = [(i, f"word{i} and more of it " * (1 + i % 5), f"s{i % 700}") for i in range(2100)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = packing.pack(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), path).collect()
+    check_packing(got, [r[:2] for r in rows], 4096, Tokenizer.from_file(path), 2)
+    assert len(got) < 2 * len(rows)
+    big = packing.plan({f"s{k}": 1000 + k for k in range(100_000)}, None, 4096)
+    assert sum(x.nbytes for x in (big.tokens, big.weight, big.times, big.spent)) < 4 << 20 and int(big.sent(big.rounds).sum()) == int(big.tokens.sum())
+
+
 # 9
 def test_mixing(spark, docs, nothing):
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") < 3000, "big").otherwise("small").alias("source"))
