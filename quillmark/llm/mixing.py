@@ -66,10 +66,10 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
     """The columns of ``docs`` with rate, n_copies, copy (from 1) and shuffle_key; rows in the order of the global shuffle."""
-    found = rates(docs, weights)
-    if not common.fits(found, MOST_SOURCES):
+    found = rates(docs, weights).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    table = [(r["_mix_source"], r["rate"], max(1, math.ceil(r["rate"] / MOST_RATE))) for r in found.collect()]
+    table = [(r["_mix_source"], r["rate"], max(1, math.ceil(r["rate"] / MOST_RATE))) for r in found]
     tables = spark.createDataFrame([(s, rate, n, steps(rate / n)) for s, rate, n in table], "_mix_source string, _mix_rate double, _mix_parts int, _mix_steps array<double>")
     kept = [c for c in docs.columns if c not in ("rate", "n_copies", "copy", "shuffle_key")]
     rows = docs.select(kept).join(F.broadcast(tables), F.col("source").cast("string").eqNullSafe(F.col("_mix_source")))
