@@ -65,20 +65,33 @@ def best_cut(sweep: DataFrame) -> DataFrame:
     return ties.orderBy(F.desc("f1")).limit(1).select("f1", F.element_at("cuts", (F.floor((F.size("cuts") - 1) / 2) + 1).cast("int")).alias("cut"))
 
 
+def sums_below(rows: DataFrame, order: str, value: str, name: str = "below") -> DataFrame:
+    """``rows``, distinct in a numeric ``order``, with the sum of ``value`` over the rows before each.
+
+    The order is cut into even ranges at quantiles that are literals of the plan, so a row's range is the same wherever
+    it is computed; ranges are summed, and a running sum within its range is added to that of the ranges before.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(rows.approxQuantile(order, [k / n for k in range(1, n)], 0.2 / n))) if n > 1 else []
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(order))) if cuts else F.lit(0)
+    parts = rows.withColumn("_part", part)
+    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    bases = parts.groupBy(F.col("_part").alias("_p")).agg(F.sum(value).alias("_n")).select("_p", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = parts.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return ranked.join(F.broadcast(bases), F.col("_part") == F.col("_p")).withColumn(name, F.col(name) + F.col("_base")).drop("_part", "_p", "_base")
+
+
 def roc_auc(rows: DataFrame, score: str, truth: str, weight: str | None = None) -> DataFrame:
-    """The probability that a positive outscores a negative, ties counting half, by sums over distinct scores.
+    """The probability that a positive outscores a negative, ties counting half. Rows without a score do not count.
 
-    Weights are gathered by score first; the running sum is over distinct scores, taken in two steps so that no task
-    holds them all: sums by range of scores, then within each range.
+    Weights are gathered by score first; the running sum is over distinct scores, by ranges.
     """
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    by = rows.groupBy(F.col(score).cast("double").alias("s")).agg(F.sum(F.when(F.col(truth) == 1, w).otherwise(0.0)).alias("p"), F.sum(F.when(F.col(truth) == 1, 0.0).otherwise(w)).alias("n"))
-    parts = by.repartitionByRange("s").withColumn("part", F.spark_partition_id())
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.groupBy("part").agg(F.sum("n").alias("_n")).select("part", F.coalesce(F.sum("_n").over(ahead), F.lit(0.0)).alias("base"))
-    within = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = parts.withColumn("below", F.coalesce(F.sum("n").over(within), F.lit(0.0))).join(bases, "part")
-    wins = F.sum(F.col("p") * (F.col("below") + F.col("base") + F.col("n") / 2))
+    own = rows.where(F.col(score).isNotNull())
+    by = own.groupBy(F.col(score).cast("double").alias("s")).agg(F.sum(F.when(F.col(truth) == 1, w).otherwise(0.0)).alias("p"), F.sum(F.when(F.col(truth) == 1, 0.0).otherwise(w)).alias("n"))
+    ranked = sums_below(by, "s", "n")
+    wins = F.sum(F.col("p") * (F.col("below") + F.col("n") / 2))
     return ranked.agg(S.ratio(wins, F.sum("p") * F.sum("n")).alias("auc"), F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
 
 
@@ -106,33 +119,71 @@ def ratio_estimate(rows: DataFrame, weight: str, top: Column, bottom: Column) ->
     return rows.agg(S.ratio(F.sum(w * top.cast("double")), F.sum(w * bottom.cast("double"))).alias("estimate"))
 
 
-def bootstrap(rows: DataFrame, cluster: str, top: Column, bottom: Column, draws: int = 200, seed: int = 20261106, stratum: str | None = None) -> DataFrame:
-    """A 95% percentile interval of a ratio of sums, clusters resampled within strata.
+def _uniform(seed: int, *parts: Column) -> Column:
+    """A number in [0, 1) by the md5 of the seed and the parts."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / float(16**12)
+
+
+def _interval(units: DataFrame, drawn: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Point and 95% percentile interval of the first ratio, less the second if there is one; draws without a value do not count."""
+    value = lambda c: sum((sign * S.ratio(F.sum(c(f"_t{k}")), F.sum(c(f"_b{k}"))) for k, sign in zip(names, (1, -1), strict=False)), F.lit(0.0))
+    ratios = drawn.groupBy("draw").agg(value(lambda c: F.col("_k") * F.col(c)).alias("r"))
+    ordered = ratios.agg(F.sort_array(F.collect_list("r")).alias("rs"))  # one value a draw
+    point = units.agg(value(F.col).alias("point"))
+    return point.join(F.broadcast(ordered), F.lit(True)).select("point", S.at_quantile(F.col("rs"), 0.025, "nearest").alias("low"), S.at_quantile(F.col("rs"), 0.975, "nearest").alias("high"))
 
-    Clusters are summed once; each then gets, for each draw, a Poisson(1) count inverted from a hash, which resamples
-    without gathering them: the draws are sums by (draw), combined map-side.
+
+def _units(rows: DataFrame, stratum: str | None, cluster: str, ratios: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """Sums of each cluster; a ratio's rows count where both its sides are given."""
+    sums = [F.sum(c.cast("double")).alias(f"_{side}{k}") for k, pair in enumerate(ratios) for side, c in zip("tb", pair, strict=True)]
+    return rows.groupBy((F.col(stratum).cast("string") if stratum else F.lit("")).alias("_stratum"), F.col(cluster).cast("string").alias("_unit")).agg(*sums)
+
+
+def resampled(
+    rows: DataFrame, cluster: str, top: Column, bottom: Column, minus: tuple[Column, Column] | None = None, draws: int = 200, seed: int = 20261106, stratum: str | None = None, census: Sequence[str] = ()
+) -> DataFrame:
+    """A 95% percentile interval of a ratio of sums, or of a ratio less another, by drawing whole clusters with replacement.
+
+    Each stratum's clusters are numbered; for each draw as many numbers are drawn as there are clusters, by hash, and
+    counted before clusters are joined to them. Strata of ``census`` were drawn whole and stay as they are. For judged
+    samples: it makes a row for each draw and cluster. ``bootstrap`` is for any size.
     """
-    own = rows.groupBy(*([stratum] if stratum else []), cluster).agg(F.sum(top.cast("double")).alias("_t"), F.sum(bottom.cast("double")).alias("_b"))
+    ratios = [(top, bottom), *([minus] if minus else [])]
+    units = _units(rows, stratum, cluster, ratios)
+    numbered = units.withColumn("_no", F.row_number().over(Window.partitionBy("_stratum").orderBy("_unit")) - 1)
+    sizes = units.groupBy("_stratum").agg(F.count("*").alias("_n"))
+    slots = sizes.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)))
+    kept = F.col("_stratum").isin(*census) if census else F.lit(False)
+    picked = F.when(kept, F.col("_slot")).otherwise(F.floor(_uniform(seed, F.col("draw"), F.col("_stratum"), F.col("_slot")) * F.col("_n")).cast("int"))
+    times = slots.groupBy("draw", "_stratum", picked.alias("_no")).agg(F.count("*").alias("_k"))
+    return _interval(units, times.join(numbered, ["_stratum", "_no"]), range(len(ratios)))
+
+
+def bootstrap(rows: DataFrame, cluster: str, top: Column, bottom: Column, draws: int = 200, seed: int = 20261106, stratum: str | None = None) -> DataFrame:
+    """As ``resampled``, at any size: each cluster gets, for each draw, a Poisson(1) count inverted from a hash, which
+    resamples without gathering them; the draws are sums by (draw), combined before the shuffle."""
+    units = _units(rows, stratum, cluster, [(top, bottom)])
     total, p, steps = 0.0, 2.718281828459045**-1, []
     for k in range(8):
         total += p
         steps.append(total)
         p /= k + 1
-    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("draw").cast("string"), F.col(cluster).cast("string"))), 1, 12), 16, 10).cast("double") / float(16**12)
-    count = sum((F.when(u >= s, 1).otherwise(0) for s in steps), F.lit(0))
-    drawn = own.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("_k", count)
-    ratios = drawn.groupBy("draw").agg(S.ratio(F.sum(F.col("_k") * F.col("_t")), F.sum(F.col("_k") * F.col("_b"))).alias("r"))
-    ordered = ratios.agg(F.sort_array(F.collect_list("r")).alias("rs"))  # one value a draw
-    point = own.agg(S.ratio(F.sum("_t"), F.sum("_b")).alias("point"))
-    return point.join(F.broadcast(ordered), F.lit(True)).select("point", S.at_quantile(F.col("rs"), 0.025, "nearest").alias("low"), S.at_quantile(F.col("rs"), 0.975, "nearest").alias("high"))
+    drawn = units.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    u = _uniform(seed, F.col("draw"), F.col("_unit"))
+    return _interval(units, drawn.withColumn("_k", sum((F.when(u >= s, 1).otherwise(0) for s in steps), F.lit(0))), [0])
 
 
 def quantiles(rows: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Values at index int(q*n) of the order, with mean and bounds. Exact, by ranks over distinct values: a histogram, not a list, is ordered."""
     hist = rows.groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    up = F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = hist.withColumn("_up", up).withColumn("_n", F.sum("c").over(w))
+    if by:
+        w = Window.partitionBy(*by)
+        up = F.sum("c").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ranked = hist.withColumn("_up", up).withColumn("_n", F.sum("c").over(w))
+    else:
+        total = hist.agg(F.sum("c").alias("_n"))
+        ranked = sums_below(hist.where("v is not null"), "v", "c").withColumn("_up", F.col("below") + F.col("c")).join(F.broadcast(total), F.lit(True))
     at = [F.min(F.when(F.col("_up") > F.floor(F.lit(q) * F.col("_n")), F.col("v"))).alias(f"p{round(q * 100)}") for q in shares]
     return ranked.groupBy(*by).agg(F.sum("c").alias("n"), F.min("v").alias("least"), *at, (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"), F.max("v").alias("most"))
 

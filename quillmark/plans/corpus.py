@@ -22,7 +22,10 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents")
 
 
-@query(f"WITH {HASHED} SELECT body_hash, min(doc_id) AS doc_id FROM h GROUP BY body_hash")
+UNIQUE_BODIES = f"WITH {HASHED} SELECT body_hash, min(doc_id) AS doc_id FROM h GROUP BY body_hash"
+
+
+@query(UNIQUE_BODIES)
 def unique_bodies(spark, sf):
     return state.unique_bodies(_docs(spark, sf), "doc_id", "text")
 
@@ -35,12 +38,12 @@ def unique_bodies_breakdown(spark, sf):
 
 
 @query(f"""WITH {HASHED}, done AS (SELECT DISTINCT body_hash FROM h JOIN labels USING (doc_id) WHERE quality = 0)
-SELECT body_hash, min(doc_id) AS doc_id FROM h WHERE body_hash NOT IN (SELECT body_hash FROM done) GROUP BY body_hash ORDER BY 2 LIMIT 100""")
+SELECT body_hash, min(doc_id) AS doc_id FROM h WHERE body_hash NOT IN (SELECT body_hash FROM done) GROUP BY body_hash""")
 def pending_bodies_anti(spark, sf):
-    """The next 100 bodies in id order that no low-quality mark has finished (the limit is the source's batch size)."""
+    """The bodies that no low-quality mark has finished."""
     docs = _docs(spark, sf)
     done = docs.join(table(spark, sf, "labels").where("quality = 0"), "doc_id").select(T.body_hash(F.col("text")).alias("item_id")).distinct()
-    return state.pending_bodies(docs, done, "doc_id", "text", 100)
+    return state.pending_bodies(docs, done, "doc_id", "text")
 
 
 @query(f"""WITH {HASHED}, scope AS (SELECT DISTINCT body_hash FROM h JOIN labels USING (doc_id) WHERE toxic = 1)
@@ -104,12 +107,12 @@ def entities_concat(spark, sf):
 @query("""WITH e AS (SELECT conv_id, string_agg(text, ', ' ORDER BY turn, text) AS entities FROM conversations WHERE role = 'user' GROUP BY conv_id)
 SELECT doc_id, 'METADATA:' || chr(10) || 'Ticker-' || lang || chr(10) || 'Company-' || source || chr(10) || chr(10) || 'NLP FEATURES:' || chr(10) || 'Sentiment-' || CAST(quality AS VARCHAR) || ' Confidence-'
 || CAST(toxic AS VARCHAR) || chr(10) || 'Entities-' || entities || chr(10) || chr(10) || 'TEXT BODY:' || chr(10) || 'Title-' || source || chr(10) || 'Body-' || text AS input
-FROM documents JOIN labels USING (doc_id) JOIN e ON e.conv_id = doc_id WHERE doc_id NOT IN (SELECT page_id FROM pages WHERE page_id % 2 = 0)""")
+FROM documents JOIN labels USING (doc_id) JOIN e ON e.conv_id = doc_id WHERE doc_id NOT IN (SELECT page_id FROM pages WHERE url LIKE '%7%')""")
 def pending_summaries(spark, sf):
     """Records ready for a summary: labelled, with entities, none written; each as its template."""
     talk = table(spark, sf, "conversations").where("role = 'user'").withColumnRenamed("conv_id", "doc_id")
     rows = _docs(spark, sf).join(table(spark, sf, "labels"), "doc_id").join(attribution.joined_texts(talk, ["doc_id"], ["turn"], "text", ", ").withColumnRenamed("text", "entities"), "doc_id")
-    done = table(spark, sf, "pages").where("page_id % 2 = 0").select(F.col("page_id").alias("doc_id"))
+    done = table(spark, sf, "pages").where("url like '%7%'").select(F.col("page_id").alias("doc_id"))
     todo = state.pending_items(rows, done, ["doc_id"])
     cols = {"ticker": "lang", "company": "source", "label": "quality", "score": "toxic", "entities": "entities", "title": "source", "body": "text"}
     return todo.select("doc_id", T.summary_input({k: F.col(v).cast("string") for k, v in cols.items()}).alias("input"))
@@ -130,13 +133,13 @@ def set_difference_bodies(spark, sf):
 
 
 @query("""SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'lost' WHEN a.doc_id IS NULL THEN 'gained' ELSE 'changed' END AS kind
-FROM (SELECT doc_id, lang AS v FROM documents WHERE doc_id % 3 <> 0) a FULL JOIN (SELECT doc_id, CASE WHEN n_chars > 1000 THEN 'long' ELSE lang END AS v FROM documents WHERE doc_id % 5 <> 0) b ON a.doc_id = b.doc_id
+FROM (SELECT doc_id, CASE WHEN n_chars > 1000 THEN 1 ELSE 0 END AS v FROM documents) a FULL JOIN (SELECT l.doc_id, quality AS v FROM labels l UNION ALL SELECT -1 - page_id, 1 FROM pages) b ON a.doc_id = b.doc_id
 WHERE a.doc_id IS NULL OR b.doc_id IS NULL OR a.v IS DISTINCT FROM b.v""")
 def movement_diff(spark, sf):
-    """Two readings of the same rows, made by leaving out and relabelling some: what was lost, gained, changed."""
-    docs = _docs(spark, sf)
-    a = docs.where("doc_id % 3 <> 0").select("doc_id", F.col("lang").alias("v"))
-    b = docs.where("doc_id % 5 <> 0").select("doc_id", F.when(F.col("n_chars") > 1000, "long").otherwise(F.col("lang")).alias("v"))
+    """A length rule's reading of all documents against the labels, which cover some of them and, here, pages besides: what was lost, gained, changed."""
+    a = _docs(spark, sf).select("doc_id", F.when(F.col("n_chars") > 1000, 1).otherwise(0).alias("v"))
+    pages = table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.lit(1).alias("v"))
+    b = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("v")).unionByName(pages)
     return relational.movement(a, b, "doc_id", "v")
 
 
@@ -198,13 +201,47 @@ def chunk_pack(spark, sf):
     return attribution.chunks(_docs(spark, sf), "doc_id", "text", 128)
 
 
-@query()
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _sql_footer() -> str:
+    a = attribution
+    like = lambda labels: f"regexp_matches(bare, {_sql(a.begins(labels))})"
+    footer = f"{like(a.FOOTER)} AND ({like(a.LEGAL)} OR length(bare) <= CASE WHEN {like(a.CREDIT)} THEN {a.LONGEST_CREDIT} ELSE {a.LONGEST_FOOTER} END)"
+    stripped = lambda c: f"regexp_replace(regexp_replace({c}, '^{WS}+', ''), '{WS}+$', '')"
+    return f"""WITH l AS (SELECT doc_id, body, unnest(string_split(body, chr(10))) AS line, unnest(range(0, len(string_split(body, chr(10))))) AS i FROM (SELECT doc_id, {_FURNISHED} AS body FROM documents)),
+b AS (SELECT *, {stripped('line')} AS bare, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM l),
+c AS (SELECT *, {like(a.BLOCK)} AS block, {like(a.LINKS)} AS heading, length(bare) <= {a.LONGEST_LINK} AND NOT regexp_matches(bare, {_sql(a.SENTENCE_END)}) AS link, {like(a.ANYWHERE)} AS dropped, bare = '' OR ({footer}) AS closing FROM b),
+d AS (SELECT *, min(i) FILTER (WHERE block AND ahead >= {a.TAIL} * greatest(length(body), 1)) OVER (PARTITION BY doc_id) AS cut FROM c),
+e AS (SELECT *, last_value(CASE WHEN heading THEN 1 WHEN NOT link THEN 0 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS linked FROM d WHERE cut IS NULL OR i < cut),
+f AS (SELECT * FROM e WHERE NOT dropped AND NOT heading AND NOT (link AND coalesce(linked, 0) = 1)),
+g AS (SELECT *, max(i) FILTER (WHERE NOT closing) OVER (PARTITION BY doc_id) AS last FROM f),
+h AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept FROM g WHERE i <= last GROUP BY doc_id),
+k AS (SELECT doc_id, CASE WHEN length({stripped("coalesce(kept, '')")}) >= {a.LEAST_KEPT} THEN kept ELSE body END AS kept FROM (SELECT doc_id, {_FURNISHED} AS body FROM documents) LEFT JOIN h USING (doc_id))
+SELECT doc_id, CAST(length(kept) AS INTEGER) AS kept_chars, md5(kept) AS digest FROM k"""
+
+
+#: Documents with the furniture of a site by their language, as the test corpus has next to none.
+_FURNISHED = """CASE lang WHEN 'en' THEN text || chr(10) || 'More from ' || source || chr(10) || 'A link' || chr(10) || 'Copyright 2020 ' || source
+WHEN 'de' THEN 'Jane Doe contributed to this report' || chr(10) || text || chr(10) || 'Disclosures: none' || chr(10) || text
+WHEN 'fr' THEN 'Related: more' || chr(10) || text || chr(10) || 'Read more here' || chr(10) || text || chr(10) || '----' ELSE text END"""
+
+
+@query(_sql_footer())
 def strip_footer(spark, sf):
-    out = attribution.strip_footer(_docs(spark, sf), "doc_id", "text")
+    docs = _docs(spark, sf).select("doc_id", F.expr(_FURNISHED.replace("chr(10)", "char(10)")).alias("text"))
+    out = attribution.strip_footer(docs, "doc_id", "text")
     return out.select("doc_id", F.length("kept_text").alias("kept_chars"), F.md5("kept_text").alias("digest"))
 
 
-@query()
+_BREAK = "regexp_replace(regexp_replace({t}, '([.!?])\\s+([A-Z0-9\"''])', concat('\\1', chr(1), '\\2'), 'g'), '([.!?])\\s+([A-Z0-9\"''])', concat('\\1', chr(1), '\\2'), 'g')"
+
+
+@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents),
+s AS (SELECT doc_id, line, list_filter(string_split({_BREAK.format(t="regexp_replace(l, '^[-•·▪*–—]\\s+', '')")}, chr(1)), lambda x: x <> '') AS s FROM l),
+p AS (SELECT doc_id, line, flatten(list_transform(s, lambda x: regexp_split_to_array(x, '[;]\\s+|\\s+[•·▪|]\\s+'))) AS p FROM s)
+SELECT doc_id, CAST(line AS INTEGER) AS line, CAST(position AS INTEGER) AS position, piece FROM (SELECT doc_id, line, unnest(p) AS piece, unnest(range(0, len(p))) AS position FROM p) WHERE trim(piece) <> ''""")
 def attribution_pieces(spark, sf):
     return attribution.pieces(_docs(spark, sf), "doc_id", "text")
 
@@ -228,18 +265,23 @@ def _hits(terms) -> str:
     return f"len(regexp_extract_all(regexp_replace(lower(text), '([^a-z0-9_&]+)', ' \\1 ', 'g'), '(?:^| )(?:{body})(?: |$)'))"
 
 
-#: Words of the test corpus stand in for the keyword lists, whose words it has not.
-STAND_IN = {"economy": ("the", "der", "le", "el"), "market": ("with", "mit", "avec", "con")}
+#: Sentences with the keyword lists' words by source, as the test corpus has none of them.
+_TOPICS = """CASE WHEN source IN ('src0', 'src1') THEN text || ' The Fed, inflation; STOCKS rally.' WHEN source IN ('src2', 'src3') THEN text || ' S&P 500 futures, the sell-off' ELSE text || ' economy' END"""
 
 
-@query("""WITH t AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_&]+'), lambda w: w <> '') AS w FROM documents),
-n AS (SELECT doc_id, len(list_filter(w, lambda x: x IN ('the', 'der', 'le', 'el'))) AS e, len(list_filter(w, lambda x: x IN ('with', 'mit', 'avec', 'con'))) AS m FROM t)
-SELECT doc_id, CAST(e AS INTEGER) AS economy, CAST(m AS INTEGER) AS market, CASE WHEN greatest(e, m) < 2 THEN 'no_company' WHEN e >= m THEN 'economy' ELSE 'market' END AS scope FROM n""")
+def _hits(terms) -> str:
+    """Whole words counted in DuckDB: other characters become marks, so that two terms can share one."""
+    import re
+
+    body = "|".join(re.escape(t).replace("'", "''").replace("\\ ", " ") for t in sorted(terms, key=len, reverse=True))
+    return f"CAST(len(regexp_extract_all(regexp_replace(' ' || lower(t) || ' ', '([^a-z0-9_&])', '\\1\\1', 'g'), '[^a-z0-9_&](?:{body.replace(' ', '  ').replace('-', '--')})[^a-z0-9_&]')) AS INTEGER)"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {_TOPICS} AS t FROM documents), n AS (SELECT doc_id, {_hits(T.ECONOMY_TERMS)} AS e, {_hits(T.MARKET_TERMS)} AS m FROM t)
+SELECT doc_id, e AS economy, m AS market, CASE WHEN greatest(e, m) < 2 THEN 'no_company' WHEN e >= m THEN 'economy' ELSE 'market' END AS scope FROM n""")
 def keyword_scope(spark, sf):
-    e, m = (F.regexp_count("text", F.lit(T.whole_word(STAND_IN[k]).replace("(?i)", "(?iU)"))) for k in ("economy", "market"))
-    rows = _docs(spark, sf).select("doc_id", e.alias("economy"), m.alias("market"))
-    best = F.greatest("economy", "market")
-    return rows.withColumn("scope", F.when(best < 2, "no_company").when(F.col("economy") == best, "economy").otherwise("market"))
+    rows = _docs(spark, sf).select("doc_id", F.expr(_TOPICS).alias("t"))
+    return rows.select("doc_id", T.keyword_hits(F.col("t"), T.ECONOMY_TERMS).alias("economy"), T.keyword_hits(F.col("t"), T.MARKET_TERMS).alias("market"), T.keyword_scope(F.col("t")).alias("scope"))
 
 
 @query()
@@ -289,6 +331,7 @@ def normalized_names(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", T.normalize_name(F.col("c_name")).alias("name_key"))
 
 
-@query()
+@query("""WITH r AS (SELECT n_nationkey, n_name, n_regionkey, '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS j FROM nation)
+SELECT sha256(CAST(sum(CAST(CAST('0x' || substr(sha256(j), 1, 15) AS BIGINT) AS DECIMAL(38, 0))) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR)) AS digest, count(*) AS n FROM r""")
 def result_digest(spark, sf):
-    return relational.digest(unique_bodies_breakdown(spark, sf))
+    return relational.digest(table(spark, sf, "nation"))

@@ -10,6 +10,7 @@ from quillmark.functions import stats as S
 from quillmark.functions import structures as N
 from quillmark.operators import periods, relational, sampling, state
 
+from . import corpus
 from .registry import query, table
 
 #: A 21-day grid over the orders, in UTC so that DuckDB needs no zone tables; the zone rule has tests of its own.
@@ -198,10 +199,10 @@ def period_render(spark, sf):
     return periods.render(_cells(spark, sf), 20)
 
 
-@query(f"SELECT period, ticker, count(*) AS not_counted FROM (SELECT {_at('o_orderdate')} AS period, o_orderpriority AS ticker FROM orders WHERE o_orderkey % 6 = 0) GROUP BY period, ticker")
+@query(f"SELECT period, ticker, count(*) AS not_counted FROM (SELECT {_at('o_orderdate')} AS period, o_orderpriority AS ticker FROM orders WHERE o_orderstatus = 'O') GROUP BY period, ticker")
 def period_gaps(spark, sf):
-    pairs = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("ticker"), F.col("o_orderdate").cast("timestamp").alias("d"))
-    return periods.gaps(pairs, pairs.where("o_orderkey % 6 <> 0"), ["o_orderkey"], "d", **GRID)
+    pairs = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("ticker"), F.col("o_orderdate").cast("timestamp").alias("d"))
+    return periods.gaps(pairs.drop("o_orderstatus"), pairs.where("o_orderstatus <> 'O'").drop("o_orderstatus"), ["o_orderkey"], "d", **GRID)
 
 
 @query("""SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts FROM events GROUP BY user_id, event_type""")
@@ -253,7 +254,7 @@ def vote_top(spark, sf):
     return votes(counts, groups, "id").select("best", "top")
 
 
-@query()
+@query(f"SELECT {_at('ts', WEEK)} AS period, event_type, count(*) AS n FROM events GROUP BY ALL")
 def stream_periods(spark, sf):
     import uuid
 
@@ -262,7 +263,7 @@ def stream_periods(spark, sf):
     return streams.period_counts(spark, f"{sf}/events.parquet", _work(spark, uuid.uuid4().hex), "ts", "event_type", **WEEK)
 
 
-@query()
+@query(corpus.UNIQUE_BODIES)
 def stream_pending_bodies(spark, sf):
     import uuid
 
@@ -277,7 +278,7 @@ def _work(spark: SparkSession, name: str) -> str:
     if not base:
         import tempfile
 
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quillmark-")
     return f"{base.rstrip('/')}/quillmark-stream/{name}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions import stats as S
@@ -65,9 +65,20 @@ def threshold_sweep(spark, sf):
     return out.select("cut", "tp", "fp", "fn", "tn", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 
 
-@query()
+@query(f"""WITH {_ROWS}, c AS (SELECT unnest([{', '.join(map(str, CUTS))}]) AS c), s AS (SELECT CAST(c AS DOUBLE) AS cut, count(*) FILTER (WHERE score >= c AND quality = 1) AS tp, count(*) FILTER (WHERE score >= c AND quality = 0) AS fp,
+count(*) FILTER (WHERE score < c AND quality = 1) AS fn FROM r, c GROUP BY c), f AS (SELECT cut, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM s)
+SELECT round(max(f1), 9) AS f1, list_sort(list(cut) FILTER (WHERE f1 = (SELECT max(f1) FROM f)))[(count(*) FILTER (WHERE f1 = (SELECT max(f1) FROM f)) - 1) // 2 + 1] AS cut FROM f""")
 def best_threshold(spark, sf):
-    return measure.best_cut(measure.at_thresholds(_rows(spark, sf), "score", "quality", CUTS))
+    return measure.best_cut(measure.at_thresholds(_rows(spark, sf), "score", "quality", CUTS)).withColumn("f1", F.round("f1", 9))
+
+
+@query("""WITH r AS (SELECT l_extendedprice / l_quantity AS s, l_returnflag = 'R' AS y, l_quantity AS w FROM lineitem), g AS (SELECT s, sum(CASE WHEN y THEN w ELSE 0 END) AS p, sum(CASE WHEN y THEN 0 ELSE w END) AS n FROM r GROUP BY s),
+b AS (SELECT *, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+SELECT round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 9) AS auc, round(sum(p), 3) AS positives, round(sum(n), 3) AS negatives FROM b""")
+def roc_auc_many(spark, sf):
+    """The area over as many distinct scores as there are prices, weighted by quantity."""
+    rows = table(spark, sf, "lineitem").select((F.col("l_extendedprice") / F.col("l_quantity")).alias("s"), (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_quantity").alias("w"))
+    return measure.roc_auc(rows, "s", "y", "w").select(F.round("auc", 9).alias("auc"), F.round("positives", 3).alias("positives"), F.round("negatives", 3).alias("negatives"))
 
 
 @query(f"""WITH {_ROWS}, t AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality = pred) AS a, count(*) FILTER (WHERE quality = 1) AS q, count(*) FILTER (WHERE pred = 1) AS p FROM r),
@@ -92,9 +103,60 @@ def paired_report(spark, sf):
     return measure.paired(_rows(spark, sf), "quality", "pred")
 
 
-@query()
+def _drawn(text: str) -> str:
+    return f"(CAST(CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT) AS DOUBLE) / {float(16**12)})"
+
+
+def _sql_interval(units: str, drawn: str, value) -> str:
+    """Percentiles by the nearest rank, halves to even, over the draws that have a value."""
+    at = lambda q: f"list_sort(list(v))[CAST(round_even({q} * (count(v) - 1), 0) AS BIGINT) + 1]"
+    return f"""WITH {_ROWS}, {units}, {drawn}, v AS (SELECT draw, {value('k * ')} AS v FROM drawn GROUP BY draw), i AS (SELECT {at(0.025)} AS low, {at(0.975)} AS high FROM v WHERE v IS NOT NULL)
+SELECT (SELECT round({value('')}, 9) FROM u) AS point, round(low, 9) AS low, round(high, 9) AS high FROM i"""
+
+
+_UNITS = "u AS (SELECT lang AS s, CAST({unit} AS VARCHAR) AS unit, {sums} FROM r GROUP BY ALL), n AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY unit) - 1 AS no FROM u)"
+_PICKS = """z AS (SELECT s, count(*) AS size FROM u GROUP BY s), p AS (SELECT s, draw, slot, size FROM (SELECT s, size, unnest(range(1, 101)) AS draw FROM z), LATERAL (SELECT unnest(range(0, size)) AS slot)),
+q AS (SELECT s, draw, CASE WHEN s = 'es' THEN slot ELSE CAST(floor({u} * size) AS BIGINT) END AS no, count(*) AS k FROM p GROUP BY ALL), drawn AS (SELECT * FROM q JOIN n USING (s, no))""".replace(
+    "{u}", _drawn("'20261106:' || CAST(draw AS VARCHAR) || ':' || s || ':' || CAST(slot AS VARCHAR)")
+)
+
+
+@query(_sql_interval(_UNITS.format(unit="source", sums="CAST(sum(quality) AS DOUBLE) AS t, CAST(count(*) AS DOUBLE) AS b"), _PICKS, lambda k: f"sum({k}t) / nullif(sum({k}b), 0)"))
 def bootstrap_ci(spark, sf):
-    return measure.bootstrap(_rows(spark, sf), "source", F.col("quality"), F.lit(1))
+    """The share of good documents, sources drawn with replacement within each language but one that was drawn whole."""
+    out = measure.resampled(_rows(spark, sf), "source", F.col("quality"), F.lit(1), draws=100, stratum="lang", census=["es"])
+    return out.select(*[F.round(c, 9).alias(c) for c in ("point", "low", "high")])
+
+
+_GAIN = "CAST(sum(CASE WHEN quality = pred THEN 1 ELSE 0 END) AS DOUBLE) AS t, CAST(sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS DOUBLE) AS t2, CAST(count(*) AS DOUBLE) AS b"
+
+
+@query(_sql_interval(_UNITS.format(unit="doc_id", sums=_GAIN), _PICKS, lambda k: f"sum({k}t) / nullif(sum({k}b), 0) - sum({k}t2) / nullif(sum({k}b), 0)"))
+def paired_gain_ci(spark, sf):
+    """What the length rule gains in agreement over calling everything good, on the same draws of documents."""
+    hit = lambda c: F.when(c, 1).otherwise(0)
+    rows = _rows(spark, sf)
+    out = measure.resampled(rows, "doc_id", hit(F.col("quality") == F.col("pred")), F.lit(1), (hit(F.col("quality") == 1), F.lit(1)), draws=100, stratum="lang", census=["es"])
+    return out.select(*[F.round(c, 9).alias(c) for c in ("point", "low", "high")])
+
+
+_STEPS = [sum(2.718281828459045**-1 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)[: k + 1]) for k in range(8)]
+
+
+@query(_sql_interval("u AS (SELECT CAST(source AS VARCHAR) AS unit, CAST(sum(quality) AS DOUBLE) AS t, CAST(count(*) AS DOUBLE) AS b FROM r GROUP BY ALL)",
+    f"""p AS (SELECT *, unnest(range(1, 201)) AS draw FROM u), x AS (SELECT *, {_drawn("'20261106:' || CAST(draw AS VARCHAR) || ':' || unit")} AS w FROM p),
+drawn AS (SELECT *, len(list_filter([{', '.join(map(repr, _STEPS))}], lambda c: c <= w)) AS k FROM x)""", lambda k: f"sum({k}t) / nullif(sum({k}b), 0)"))
+def bootstrap_poisson(spark, sf):
+    """The same share with Poisson counts of the sources, the form for any size."""
+    out = measure.bootstrap(_rows(spark, sf), "source", F.col("quality"), F.lit(1))
+    return out.select(*[F.round(c, 9).alias(c) for c in ("point", "low", "high")])
+
+
+@query("""SELECT count(*) AS n, min(l_extendedprice) AS least, list_sort(list(l_extendedprice))[CAST(floor(0.1 * count(*)) AS BIGINT) + 1] AS p10, list_sort(list(l_extendedprice))[CAST(floor(0.5 * count(*)) AS BIGINT) + 1] AS p50,
+list_sort(list(l_extendedprice))[CAST(floor(0.9 * count(*)) AS BIGINT) + 1] AS p90, round(sum(l_extendedprice) / count(*), 4) AS mean, max(l_extendedprice) AS most FROM lineitem""")
+def quantiles_of_all(spark, sf):
+    """Quantiles without groups, over many distinct values, by ranges."""
+    return measure.quantiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9]).withColumn("mean", F.round("mean", 4))
 
 
 @query("""SELECT lang, count(*) AS n, min(n_chars) AS least, list_sort(list(n_chars))[CAST(floor(0.1 * count(*)) AS BIGINT) + 1] AS p10, list_sort(list(n_chars))[CAST(floor(0.5 * count(*)) AS BIGINT) + 1] AS p50,
@@ -117,18 +179,33 @@ def scenarios(spark, sf):
 _DIMS = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
 
 
-@query(f"""WITH p AS (SELECT label, {_DIMS} AS v FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
-s AS (SELECT e.vec_id, p.label, round(list_sum(list_transform(range(1, len(p.v) + 1), lambda i: e.v[i] * p.v[i])) / sqrt(list_sum(list_transform(e.v, lambda x: x * x))) / sqrt(list_sum(list_transform(p.v, lambda x: x * x))), 9) AS score FROM (SELECT vec_id, {_DIMS} AS v FROM embeddings) e, p),
-o AS (SELECT vec_id, list(label ORDER BY score DESC, CAST(label AS VARCHAR)) AS l, list(score ORDER BY score DESC, CAST(label AS VARCHAR)) AS x FROM s GROUP BY vec_id)
-SELECT vec_id, CAST(l[1] AS VARCHAR) AS candidate, round(x[1] - x[2], 6) AS margin, CASE WHEN x[1] - x[2] >= 0.0293 THEN 'assigned' ELSE 'out_of_scope' END AS status FROM o""")
+#: Vectors of each label, by id, that stand for it, and how many of the nearest are averaged.
+PROTOTYPES, NEAREST = 7, 3
+MOST_LABELS = 10_000
+
+
+@query(f"""WITH p AS (SELECT CAST(label AS VARCHAR) AS label, vec_id AS pid, {_DIMS} AS v FROM embeddings WHERE label IS NOT NULL QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) <= {PROTOTYPES}),
+s AS (SELECT e.vec_id, p.label, list_sum(list_transform(range(1, len(p.v) + 1), lambda i: e.v[i] * p.v[i])) / sqrt(list_sum(list_transform(e.v, lambda x: x * x))) / sqrt(list_sum(list_transform(p.v, lambda x: x * x))) AS score FROM (SELECT vec_id, {_DIMS} AS v FROM embeddings) e, p),
+m AS (SELECT vec_id, label, round(avg(score), 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, label ORDER BY score DESC) AS r FROM s) WHERE r <= {NEAREST} GROUP BY vec_id, label),
+o AS (SELECT vec_id, list(label ORDER BY score DESC, label) AS l, list(score ORDER BY score DESC, label) AS x FROM m GROUP BY vec_id)
+SELECT vec_id, l[1] AS candidate, round(x[1] - x[2], 6) AS margin, CASE WHEN x[1] - x[2] >= 0.0293 THEN 'assigned' ELSE 'out_of_scope' END AS status FROM o""")
 def prototype_gate(spark, sf):
-    """Cosine to one prototype a label (ten at most, a dimension), the gap of the two best, and the gate."""
+    """Cosine to the prototypes of each label, the mean of the three nearest, the gap of the two best labels, and the gate.
+
+    The prototypes are a dimension of a few vectors a label; they are sent to every task once their number is checked.
+    """
     rows = table(spark, sf, "embeddings")
-    first = rows.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("p")).select(F.col("label").cast("string").alias("label"), S.unit(F.col("p")).alias("p"))
-    protos = first.agg(F.collect_list(F.struct("label", "p")).alias("protos"))  # one row: the labels
+    named = rows.where("label is not null").select(F.col("label").cast("string").alias("label"), "vec_id", "embedding")
+    by_id = Window.partitionBy("label").orderBy("vec_id")
+    first = named.withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= PROTOTYPES).select("label", S.unit(F.col("embedding")).alias("p"))
+    labels = [r.label for r in first.select("label").distinct().limit(MOST_LABELS + 1).collect()]
+    if len(labels) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels: their prototypes are no dimension")
+    protos = first.groupBy("label").agg(F.collect_list("p").alias("p")).agg(F.collect_list(F.struct("label", "p")).alias("protos"))  # one row
     u = rows.select("vec_id", S.unit(F.col("embedding")).alias("u")).join(F.broadcast(protos), F.lit(True))
-    scores = F.map_from_entries(F.transform("protos", lambda x: F.struct(x["label"], F.round(S.dot(F.col("u"), x["p"]), 9))))
-    out = u.select("vec_id", N.gate(scores, [str(k) for k in range(100)], F.lit(""), 0.0293).alias("g"))
+    near = lambda x: S.top_mean(F.transform(x["p"], lambda p: S.dot(F.col("u"), p)), NEAREST)
+    scores = F.map_from_entries(F.transform("protos", lambda x: F.struct(x["label"], F.round(near(x), 9))))
+    out = u.select("vec_id", N.gate(scores, sorted(labels), F.lit(""), 0.0293).alias("g"))
     return out.select("vec_id", "g.candidate", F.round("g.margin", 6).alias("margin"), "g.status")
 
 

@@ -79,27 +79,152 @@ def test_auc_and_bootstrap(spark):
     assert sweep[0.3] == (sum(s >= 0.3 for s in pos), sum(s >= 0.3 for s in neg), sum(s < 0.3 for s in pos), sum(s < 0.3 for s in neg))
 
 
+def test_auc_of_many_distinct_scores(spark):
+    rows = spark.range(200_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"), "id")
+    rows = rows.select((F.col("h") / (1 << 40)).alias("s"), F.expr("cast(h % 7 < 2 + id % 3 as int)").alias("y")).unionByName(spark.createDataFrame([(None, 1), (2.0, 0), (2.0, 1)], "s double, y int"))
+    pdf = rows.toPandas().dropna()
+    rank = pdf.s.rank(method="average")
+    pos = int((pdf.y == 1).sum())
+    want = (rank[pdf.y == 1].sum() - pos * (pos + 1) / 2) / pos / (len(pdf) - pos)
+    for n in (1, 4, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = measure.roc_auc(rows.repartition(5), "s", "y").first()
+        assert got.auc == pytest.approx(want, abs=1e-12) and (got.positives, got.negatives) == (pos, len(pdf) - pos)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert measure.roc_auc(rows.limit(0), "s", "y").first().auc is None
+
+
+def test_resampled_intervals(spark):
+    data = [(f"c{k % 9}", "ab"[k % 2], k % 3 == 0, k % 4 == 0) for k in range(60)]
+    df = spark.createDataFrame(data, "c string, s string, x boolean, y boolean")
+    one = lambda c: F.col(c).cast("int")
+    got = measure.resampled(df, "c", one("x"), F.lit(1), stratum="s").first()
+    assert got.point == pytest.approx(1 / 3) and got.low <= got.point <= got.high and got.low < got.high
+    census = measure.resampled(df, "c", one("x"), F.lit(1), stratum="s", census=["a", "b"]).first()
+    assert census.low == census.point == census.high
+    gain = measure.resampled(df, "c", one("x"), F.lit(1), (one("y"), F.lit(1))).first()
+    assert gain.point == pytest.approx(1 / 3 - 1 / 4) and gain.low < gain.point < gain.high
+    nothing = measure.resampled(df.limit(0), "c", one("x"), F.lit(1)).first()
+    assert nothing.point is None and nothing.low is None
+
+
 ENTITIES = [("ABT", "Abbott Laboratories"), ("META", "Meta Platforms Inc."), ("JBHT", "J.B. Hunt Transport"), ("WMB", "Williams Companies"), ("GOOG", "Alphabet Inc. (Class C)"), ("GOOGL", "Alphabet Inc. (Class A)")]
 
 
 def test_matcher(spark):
     d = matching.Dictionary(ENTITIES, common=frozenset({"williams"}))
-    found = lambda t: [(m.entity, m.kind) for m in matching.settled(d.mentions(t))]
+    found = lambda t: [(m.entity, m.kind) for m in d.mentions(t)]
     assert found("Meta rose; Abbott Laboratories fell; alphabet too.") == [("META", "alias"), ("ABT", "name"), ("GOOG", "name")]
     assert found("Williams said so.") == [] and [e for e, _ in found("Williams (NYSE: WMB) said so.")] == ["WMB", "WMB"]
     assert d.counts("Meta analysts cheer. Alphabet, Alphabet.") == {"GOOG": 2}
-    text = "He is long $META, ABT."
-    assert {d.disclosed(text, m) for m in matching.settled(d.mentions(text)) if m.kind == "ticker" and m.entity == "ABT"} <= {"genre", None}
-    assert d.entity_of("JB Hunt Transport") is None and d.entity_of("META") == "META" and d.entity_of("") is None
+    assert d.counts("Nobody here.", ["Meta Platforms", "Williams", "unknown"]) == {"META": 1} and d.counts("$WMB", ["Williams", "Williams"]) == {"WMB": 2}
+    assert d.entity_of("JB Hunt Transport") == "JBHT" and d.entity_of("META") == "META" and d.entity_of("") is None and d.entity_of("meta") is None
+    assert [m.kind for m in d.firm("Williams and Meta and Meta Platforms and $META")] == ["name", "ticker"] and d.explicit("$META (NYSE: ABT) META") == 2
     rows = spark.createDataFrame([(1, "Meta and Meta"), (2, None)], "id long, t string")
     assert [(r.id, r.entity, r.n) for r in matching.entity_counts(rows, "id", "t", d).collect()] == [(1, "META", 2)]
     assert matching.mention_spans(rows, "id", "t", d).count() == 2
 
 
+@pytest.mark.parametrize(
+    "key,yes,no",
+    [
+        ("j b hunt transport", ["J.B. Hunt Transport", "JB Hunt Transport", "J. B. Hunt-Transport"], ["j.b. hunt transport", "J.B. Hunt\nTransport"]),
+        ("casey s general stores", ["Casey's General Stores", "CASEY’S GENERAL STORES"], ["Caseys General Stores", "Casey's General. Stores"]),
+        ("estee lauder", ["Estée Lauder", "Este\u0301e Lauder", "ESTEE  LAUDER"], ["Estee, Lauder"]),
+        ("yum brands", ["Yum! Brands", "Yum Brands"], ["Yum? Brands"]),
+        ("coca cola", ["Coca-Cola", "coca cola"], ["CocaCola"]),
+        ("a o", ["A.O.", "A. O", "AO"], ["a o"]),
+    ],
+)
+def test_name_patterns(key, yes, no):
+    pattern = matching.re.compile(matching.name_pattern(key), matching.re.I)
+    assert all(pattern.fullmatch(t) for t in yes) and not any(pattern.fullmatch(t) for t in no)
+    d = matching.Dictionary([("X", key)])
+    assert all([m.entity for m in d.forms(f"see {t} there") if m.kind == "name"] == ["X"] for t in yes)
+
+
+def test_forms_of_names():
+    assert [matching.initials(k.split()) for k in ("j b hunt", "casey s general", "3m")] == [2, 0, 0]
+    form = matching.re.compile(matching.form_pattern(["Block", "Inc"]))
+    assert form.match("Block, Inc") and form.match("Block Inc") and not matching.re.compile(matching.form_pattern(["Jack", "Henry"])).match("Jack, Henry")
+    d = matching.Dictionary([("TTWO", "Take-Two Interactive"), ("MTCH", "Match Group"), ("NDAQ", "Nasdaq Inc.")], generic=frozenset({"take"}), word_names=frozenset({"match"}), unsafe=frozenset({"NDAQ"}), short={"Take-Two": "TTWO"})
+    found = lambda t, **k: [(m.entity, m.kind) for m in d.forms(t, **k)]
+    assert found("Take-Two won a match, Match said on Nasdaq") == [("TTWO", "short"), ("MTCH", "name")]
+    assert found("Take-Two Interactive") == [("TTWO", "name")] and found("Take-Two", aliases=False) == [] and found("$NDAQ") == [("NDAQ", "ticker")]
+    assert d.entity_of("take two") == "TTWO" and d.entity_of("Take two, ") == "TTWO"
+
+
+@pytest.mark.parametrize(
+    "text,branch",
+    [
+        ("He is long stock META.", "genre"), ("He is long stock $META.", None), ("The firm makes a market in META shares", "genre"), ("Disclosure: none on META", "genre"), ("Trader A owns (META), B owns ABT;", "owns"),
+        ("The bank has received compensation for services it gave to that company ( META )", "genre"), ("holds ABT, WMB, (META), XXX; YYY", "list"), ("ABT, META fell", None),
+        ("AAA, BBB, CCC, META, DDD, EEE", None), ("META rose on strong sales", None),
+    ],
+)
+def test_disclosures(text, branch):
+    d = matching.Dictionary(ENTITIES)
+    (m,) = [m for m in d.forms(text) if m.kind == "ticker" and m.entity == "META"]
+    assert d.disclosed(text, m) == branch
+
+
+def test_settled_spans_equal_a_plain_sweep(spark):
+    import random
+
+    rng = random.Random(6)
+    data = []
+    for i in range(60):
+        own = {(a, a + rng.randrange(1, 6), rng.choice("xy")) for a in (rng.randrange(20) for _ in range(rng.randrange(9)))}
+        data.append((i, [(a, b, e, "name", None) for a, b, e in own]))
+    df = spark.createDataFrame(data, f"id long, spans {matching._SPANS}")
+    got = {r.id: [(s.start, s.end, s.entity) for s in r.s] for r in df.select("id", matching.settled(F.col("spans")).alias("s")).collect()}
+    for i, own in data:
+        free, want = set(range(40)), []
+        for a, b, e, *_ in sorted(own, key=lambda s: (s[0], -s[1], s[2])):
+            if a >= (max(want)[1] if want else 0) and set(range(a, b)) <= free:
+                want.append((a, b, e))
+                free -= set(range(a, b))
+        assert got[i] == want
+
+
+def test_footers(spark):
+    story = "x" * 300
+    cases = {
+        story + "\nMore from us\nA link\nRead more here\nReporting by A. B.\nCopyright 2020": story,
+        "short\nCopyright 2020": "short\nCopyright 2020",
+        story + "\nMore from us\nA link\nA quote ends here.\nafter": story + "\nA quote ends here.\nafter",
+        story + "\nDisclosure: late\nall goes": story,
+        "Disclosure: early\n" + story: "Disclosure: early\n" + story,
+        "a\nJane Doe contributed to this report\n" + story: "a\n" + story,
+        story + "\nReporting by " + "y" * 200: story + "\nReporting by " + "y" * 200,
+        story + "\nDisclaimer: " + "y" * 400: story,
+        story + "\n\n  \n": story,
+        "": "",
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "id long, t string")
+    got = {r.id: r.kept_text for r in attribution.strip_footer(rows, "id", "t").collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+    assert attribution.strip_footer(spark.createDataFrame([(1, None)], "id long, t string"), "id", "t").first().kept_text == ""
+
+
+def test_headers_and_clauses(spark):
+    d = matching.Dictionary([("AAPL", "Apple"), ("MSFT", "Microsoft"), ("UAL", "United Airlines Holdings"), ("WEN", "Wendy's"), ("AMZN", "Amazon.com")])
+    owners = lambda t, **k: attribution.header_owners(t, d, **k)
+    assert owners("Apple, Microsoft - They rose.") == ["AAPL", "MSFT"] and owners("Nobody Known - They rose.") == [] and owners("No header here") is None
+    assert owners("DETROIT - Ford rose") is None and owners("Apple - rose and fell") is None and owners("a cat and Apple - They rose") is None
+    assert owners("Wendy's (WEN) - Sales fell", bracketed=True) == ["WEN"] and owners("Memory stocks - The group fell", wide=True) == [] and owners("SAP - Sales fell", wide=True) == []
+    assert owners("Amazon.com - Sales fell") is None and owners("Amazon.com - Sales fell", wide=True) == ["AMZN"] and owners("FDA - The agency", wide=True) is None
+    assert attribution.clauses("Apple rose three percent, Microsoft fell", d) == ["Apple rose three percent,", "Microsoft fell"]
+    assert attribution.clauses("Apple and Microsoft announced it", d) == ["Apple and Microsoft announced it"]
+    how = attribution.Reading(headers=True, named_after=True, per_sentence=True, wide=True)
+    text = "- Apple - Sales rose. Microsoft - Sales fell; so did Apple."
+    assert attribution.owned_line(text, d, how) == [("Apple - Sales rose.", ["AAPL"]), ("Microsoft - Sales fell", ["MSFT"]), ("so did Apple.", ["AAPL", "MSFT"])]
+    assert attribution.owned_line("Airlines stocks - The group fell. United Airlines slipped.", d, how) == [("Airlines stocks - The group fell.", []), ("United Airlines slipped.", ["UAL"])]
+    rows = spark.createDataFrame([(1, "Apple rose a lot today, Microsoft fell\nplain"), (2, None)], "id long, t string")
+    assert [(r.position, r.piece, r.owners) for r in attribution.owned_pieces(rows, "id", "t", d).collect()] == [(0, "Apple rose a lot today,", None), (1, "Microsoft fell", None), (2, "plain", None)]
+
+
 def test_parsers():
-    body = "x" * 300 + "\nMore from us\nA link\nRead more here\nReporting by A. B.\nCopyright 2020"
-    assert attribution.without_footer(body) == "x" * 300
-    assert attribution.without_footer("short\nCopyright 2020") == "short\nCopyright 2020"
     text = "One two three. Four five. " + "Six " * 7 + "end."
     spans = attribution.packed(text, 6, attribution.word_tokens)
     assert [text[a:b] for a, b in spans][0] == "One two three." and all(len(attribution.word_tokens(text[a:b])) <= 6 for a, b in spans)
@@ -107,6 +232,12 @@ def test_parsers():
     assert [(t["entity_type"], t["start_char"], t["end_char"]) for t in tags] == [("ORG", 2, 9), ("PER", 10, 12)] and tags[0]["score"] == pytest.approx(0.7)
 
 
+def test_lead(spark):
+    rows = [("One. Two!  Three? Four. Five.", "One. Two!  Three?"), ("One. two. Three.", "One. two. Three."), ("", ""), ("a\nb. C. D. E", "a\nb. C. D.")]
+    got = spark.createDataFrame(rows, "t string, want string").select(scorers.lead(F.col("t")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)
+
+
 def test_code_identity():
     code = "A = 1\ndef f():\n    '''doc'''\n    return g() + A\ndef g(): return 1\ndef h(): return 2\n"
     assert list(scorers.reached(code, ["f"])) == ["A", "f", "g"]
