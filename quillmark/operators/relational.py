@@ -155,3 +155,31 @@ def digest(rows: DataFrame) -> DataFrame:
     row = F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)]), {"ignoreNullFields": "false"})
     h = rows.select(F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(38,0)").alias("h"))
     return h.agg(F.sha2(F.concat_ws(":", F.coalesce(F.sum("h"), F.lit(0)).cast("string"), F.count("*").cast("string")), 256).alias("digest"), F.count("*").alias("n"))
+
+
+def counters(rows: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """How many rows of each key each measure holds for."""
+    return rows.groupBy(*keys).agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in measures.items()])
+
+
+def widened(counted: DataFrame, key: str, corpus: str, corpora: Sequence[str], names: Sequence[str], known: DataFrame) -> DataFrame:
+    """One row for each of ``known`` keys, with a column ``corpus_name`` for each counter, zero where there is none."""
+    cell = lambda c, n: F.coalesce(F.max(F.when(F.col(corpus) == c, F.col(n))), F.lit(0)).alias(f"{c}_{n}")
+    wide = counted.groupBy(F.col(key).alias("_k")).agg(*[cell(c, n) for c in corpora for n in names])
+    columns = [F.coalesce(f"{c}_{n}", F.lit(0)).alias(f"{c}_{n}") for c in corpora for n in names]
+    return known.join(wide, F.col(key).eqNullSafe(F.col("_k")), "left").select(key, *columns)
+
+
+def require_rows(rows: DataFrame, rules: Mapping[str, str], key: str) -> None:
+    """Refuse a table in which a row breaks a rule, with the first keys that do."""
+    broken = F.filter(F.array(*[F.when(~F.coalesce(F.expr(rule), F.lit(False)), F.lit(name)) for name, rule in rules.items()]), lambda x: x.isNotNull())
+    bad = rows.select(key, broken.alias("broken")).where(F.size("broken") > 0).orderBy(key).limit(5).collect()
+    if bad:
+        raise Refused(f"rows break rules: {[(r[0], r.broken) for r in bad]}")
+
+
+def shares_within(rows: DataFrame, value: str, sizes: Sequence[int]) -> DataFrame:
+    """How many rows, and what share, have a value up to each size; one pass."""
+    counted = rows.agg(F.count("*").alias("n"), *[F.count_if(F.col(value) <= s).alias(f"s{s}") for s in sizes])
+    out = counted.select("n", F.explode(F.array(*[F.struct(F.lit(s).alias("size"), F.col(f"s{s}").alias("fit")) for s in sizes])).alias("x"))
+    return out.select("x.size", "x.fit", F.round(F.col("x.fit") / F.col("n"), 9).alias("share"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions import text as T
-from quillmark.operators import attribution, matching, relational, scorers, state
+from quillmark.operators import attribution, matching, parts, relational, scorers, state
 
 from .registry import query, table
 
@@ -284,14 +284,18 @@ def keyword_scope(spark, sf):
     return rows.select("doc_id", T.keyword_hits(F.col("t"), T.ECONOMY_TERMS).alias("economy"), T.keyword_hits(F.col("t"), T.MARKET_TERMS).alias("market"), T.keyword_scope(F.col("t")).alias("scope"))
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id, text, n_nationkey AS k, replace(n_name, 'NATION_', 'Nation-') AS n FROM documents JOIN nation ON n_nationkey = doc_id % 25),
+m AS (SELECT *, length(text) + 1 AS a FROM d)
+SELECT doc_id, 0 AS position, CAST(a AS INTEGER) AS start, CAST(a + length(n) AS INTEGER) AS "end", 'N' || k AS entity, 'name' AS kind, CAST(NULL AS VARCHAR) AS disclosed FROM m
+UNION ALL SELECT doc_id, 1, CAST(a + length(n) + 6 AS INTEGER), CAST(a + length(n) + 16 AS INTEGER), 'N1', 'ticker', NULL FROM m""")
 def mentions_dict(spark, sf):
-    """Mentions of nations and parts, the dictionary's bound being that of the dimension, in a text made of them and of documents."""
-    names = [(f"N{r.n_nationkey}", r.n_name.title()) for r in table(spark, sf, "nation").select("n_nationkey", "n_name").collect()]
-    dictionary = matching.Dictionary(names, generic=frozenset({"united", "saudi"}))
-    nation = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("k"), F.initcap("n_name").alias("n"))
+    """Mentions of nations, whose number bounds the dictionary, in documents that each have a name and a ticker form at their end."""
+    nation = table(spark, sf, "nation")
+    names = [(f"N{r.n_nationkey}", r.n_name.title().replace("_", " ")) for r in nation.select("n_nationkey", "n_name").collect()]
+    dictionary = matching.Dictionary(names)
+    own = nation.select(F.col("n_nationkey").cast("long").alias("k"), F.replace("n_name", F.lit("NATION_"), F.lit("Nation-")).alias("n"))
     docs = _docs(spark, sf).withColumn("k", F.pmod("doc_id", F.lit(25)))
-    docs = docs.join(F.broadcast(nation), "k").select("doc_id", F.concat("text", F.lit(" "), "n", F.lit(" said (NYSE: N1) on Monday.")).alias("text"))
+    docs = docs.join(F.broadcast(own), "k").select("doc_id", F.concat("text", F.lit(" "), "n", F.lit(" said (NYSE: N1) on Monday.")).alias("text"))
     return matching.mention_spans(docs, "doc_id", "text", dictionary)
 
 
@@ -335,3 +339,76 @@ def normalized_names(spark, sf):
 SELECT sha256(CAST(sum(CAST(CAST('0x' || substr(sha256(j), 1, 15) AS BIGINT) AS DECIMAL(38, 0))) AS VARCHAR) || ':' || CAST(count(*) AS VARCHAR)) AS digest, count(*) AS n FROM r""")
 def result_digest(spark, sf):
     return relational.digest(table(spark, sf, "nation"))
+
+
+_MEASURES = "subjects AS (SELECT doc_id, source, lang, quality, n_chars, CASE WHEN n_chars < 1000 THEN 'short' ELSE 'long' END AS corpus FROM documents LEFT JOIN labels USING (doc_id))"
+
+
+@query(f"""WITH {_MEASURES} SELECT source, corpus, count(*) AS rows, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE lang = 'en') AS english, count(*) FILTER (WHERE quality = 1 AND lang = 'en') AS both FROM subjects GROUP BY source, corpus""")
+def source_counters(spark, sf):
+    """Counters by source and corpus over the measures that a document has, held as an array."""
+    docs = _docs(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left")
+    corpus = F.when(F.col("n_chars") < 1000, "short").otherwise("long")
+    return relational.counters(docs.withColumn("corpus", corpus), ["source", "corpus"], {"rows": F.lit(True), "good": F.col("quality") == 1, "english": F.col("lang") == "en", "both": (F.col("quality") == 1) & (F.col("lang") == "en")})
+
+
+@query(f"""WITH {_MEASURES}, c AS (SELECT source, corpus, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS g FROM subjects GROUP BY source, corpus),
+s AS (SELECT DISTINCT source FROM documents UNION SELECT 'src_unseen')
+SELECT s.source, coalesce(max(n) FILTER (WHERE corpus = 'short'), 0) AS short_rows, coalesce(max(g) FILTER (WHERE corpus = 'short'), 0) AS short_good, coalesce(max(n) FILTER (WHERE corpus = 'long'), 0) AS long_rows, coalesce(max(g) FILTER (WHERE corpus = 'long'), 0) AS long_good
+FROM s LEFT JOIN c ON s.source IS NOT DISTINCT FROM c.source GROUP BY s.source""")
+def wide_counters(spark, sf):
+    """One row a source, known or not, with a column for each corpus and counter, zero where there is nothing; checked for rows that cannot be."""
+    docs = _docs(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left").withColumn("corpus", F.when(F.col("n_chars") < 1000, "short").otherwise("long"))
+    counted = relational.counters(docs, ["source", "corpus"], {"rows": F.lit(True), "good": F.col("quality") == 1})
+    known = _docs(spark, sf).select("source").distinct().unionByName(spark.createDataFrame([("src_unseen",)], "source string"))
+    out = relational.widened(counted, "source", "corpus", ["short", "long"], ["rows", "good"], known)
+    relational.require_rows(out, {"more good than rows": "short_good <= short_rows and long_good <= long_rows", "negative": "short_rows >= 0 and long_rows >= 0"}, "source")
+    return out
+
+
+@query("""WITH n AS (SELECT source, doc_id, len(list_filter(string_split(text, chr(10)), lambda l: length(l) >= 20)) AS k, n_chars FROM documents),
+g AS (SELECT source, count(*) AS bodies, sum(k) AS pieces, max(k) AS most, count(*) FILTER (WHERE k > 5) AS over FROM n GROUP BY source)
+SELECT count(*) AS groups, CAST(sum(bodies) AS BIGINT) AS bodies, CAST(sum(pieces) AS BIGINT) AS pieces, max(most) AS most, round(avg(pieces / bodies), 6) AS mean_of_means, round(sum(over) / sum(bodies), 6) AS share_over FROM g""")
+def group_statistics(spark, sf):
+    """Statistics over groups' own statistics: pieces a body, by source, then over sources."""
+    docs = _docs(spark, sf).select("source", F.size(F.filter(F.split("text", "\n"), lambda x: F.length(x) >= 20)).alias("k"))
+    by = docs.groupBy("source").agg(F.count("*").alias("bodies"), F.sum("k").alias("pieces"), F.max("k").alias("most"), F.count_if(F.col("k") > 5).alias("over"))
+    return by.agg(
+        F.count("*").alias("groups"), F.sum("bodies").alias("bodies"), F.sum("pieces").alias("pieces"), F.max("most").alias("most"), F.round(F.avg(F.col("pieces") / F.col("bodies")), 6).alias("mean_of_means"),
+        F.round(F.sum("over") / F.sum("bodies"), 6).alias("share_over"),
+    )
+
+
+@query("""SELECT s.size, count(*) FILTER (WHERE length(text) <= s.size) AS fit, round(count(*) FILTER (WHERE length(text) <= s.size) / count(*), 9) AS share FROM documents, (SELECT unnest([500, 1000, 2000, 4000, 8000]) AS size) s GROUP BY s.size""")
+def size_shares(spark, sf):
+    """How many texts fit each of several sizes."""
+    return relational.shares_within(_docs(spark, sf).select(F.length("text").alias("chars")), "chars", [500, 1000, 2000, 4000, 8000])
+
+
+@query(f"""WITH {HASHED} SELECT body_hash, min(doc_id) AS first_id, count(*) AS n, array_to_string(list_sort(list(doc_id))[1:3], ',') AS ids FROM h GROUP BY body_hash""")
+def bodies_with_ids(spark, sf):
+    """Unique bodies with how many documents have them and the first three."""
+    rows = _docs(spark, sf).select("doc_id", T.body_hash(F.col("text")).alias("body_hash"))
+    out = parts.with_all_ids(rows, "body_hash", "doc_id", 3)
+    return out.select("body_hash", "first_id", "n", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"))
+
+
+@query("""SELECT user_id, arg_min(event_type, (ts, event_id)) AS event_type, bool_or(value > 90) AS high, bool_or(event_type = 'purchase') AS bought, count(*) AS readings FROM events GROUP BY user_id""")
+def folded_readings(spark, sf):
+    """Readings folded by key: the first one's kind stays, flags are set once any sets them."""
+    return parts.folded(table(spark, sf, "events"), "user_id", ["ts", "event_id"], {"high": "value > 90", "bought": "event_type = 'purchase'"}, ["event_type"])
+
+
+@query("""SELECT conv_id, turn, text FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn, text) = 1""")
+def top_row(spark, sf):
+    """The longest turn of each conversation, the first among equals."""
+    rows = table(spark, sf, "conversations")
+    return relational.nth_latest(rows, ["conv_id"], [F.desc(F.length("text")), F.col("turn"), F.col("text")], 1).select("conv_id", "turn", "text")
+
+
+@query("""SELECT o_orderpriority, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r <= 3""")
+def latest_three(spark, sf):
+    """The three latest orders of each priority (the limit is the report's)."""
+    rows = table(spark, sf, "orders")
+    parts_ = [relational.nth_latest(rows, ["o_orderpriority"], [F.desc("o_orderdate"), F.desc("o_orderkey")], k) for k in (1, 2, 3)]
+    return relational.union_disjoint(parts_, ["o_orderkey"]).select("o_orderpriority", "o_orderkey", "o_totalprice")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillmark.operators import attribution, maintenance, matching, measure, periods, relational, sampling, scorers, state
+from quillmark.operators import attribution, maintenance, matching, measure, parts, periods, relational, sampling, scorers, sheets, state
 from quillmark.sources import tables
 
 
@@ -285,3 +285,62 @@ def test_jobs(spark):
     assert jobs.run(["a", "b", "a"]) == {"a": 1, "b": None} and jobs.log[-1] == ("a", "cancelled")
     with pytest.raises(relational.Refused):
         jobs.run(["c"])
+
+
+def test_sheet_cells(spark):
+    cells = [("Booking Holdings, Inc., Apple", ["Booking Holdings, Inc.", "Apple"]), ("Apple,\n Google ,, LLC", ["Apple", "Google, LLC"]), ("", []), (None, []), ("Inc.", ["Inc."]), ("A: x, Corp, B:y", ["A: x, Corp", "B:y"])]
+    got = spark.createDataFrame([(k, c) for k, (c, _) in enumerate(cells)], "id long, cell string").select("id", sheets.split_list(F.col("cell")).alias("items")).collect()
+    assert {r.id: r.items for r in got} == {k: want for k, (_, want) in enumerate(cells)}
+    marks = spark.createDataFrame([("AAPL:product, MSFT:other, AAPL:Legal, none",)], "cell string").select(sheets.label_map(F.col("cell")).alias("m")).first().m
+    assert marks == {"AAPL": ["product", "legal"], "MSFT": ["other"]}
+    rules = {"single": "one", "multi": "many", "sector": "any", "market": "none"}
+    rows = spark.createDataFrame([("single", 1, 0), (" Single", 2, 0), ("multi", 1, 0), ("sector", 0, 0), ("market", 1, 0), ("x", 0, 0)], "s string, c int, n int")
+    assert [len(r[0]) for r in rows.select(sheets.scope_problems(F.col("s"), F.col("c"), F.col("n"), rules)).collect()] == [0, 1, 1, 1, 1, 1]
+    old = spark.createDataFrame([(1, "Apple:x; Microsoft", "apple;Google")], "id long, labels string, companies string")
+    new = sheets.migrated(old, "id", "labels", "companies").first()
+    assert new.labels == "Apple:x, Microsoft, Google" and len(new.problems) == 3
+
+
+def test_name_book(spark):
+    universe = spark.createDataFrame(
+        [("AAPL", "Apple Inc.", "AAPL"), ("GOOG", "Alphabet Inc.", "GOOG"), ("GOOGL", "Alphabet Inc.", "GOOG"), ("HD", "Home Depot", "HD"), ("GM", "General Motors", "GM"), ("GIS", "General Mills", "GIS"), ("F", "Ford Motor", "F"), ("SNA", "Snap-on", "SNA"), ("FOX", "Fox Corp Class B", "FOX"), ("FOXA", "Fox Corp Class A", "FOX")],
+        "id string, name string, canonical string",
+    )
+    nick = spark.createDataFrame([("GOOG", "Google"), ("XYZ", "Nobody"), ("HD", "The Home Depot")], "id string, form string")
+    brand = spark.createDataFrame([("GOOG", "YouTube"), ("F", "Google")], "id string, form string")
+    book = sheets.name_book(universe, nick, brand, {"FOX": "FOXA"})
+    texts = {
+        "AAPL": ("AAPL", None, ""), "aapl": ("AAPL", None, "ticker, other case"), "$AAPL": ("AAPL", None, ""), "Apple": ("AAPL", None, ""), "Home": ("HD", None, "first word"), "YouTube": ("GOOG", None, "brand"),
+        "General": (None, "ambiguous: GIS, GM", ""), "Google": (None, "ambiguous: F, GOOG", ""), "F": ("F", None, "word ticker"), "Snap": (None, "unknown", ""), "Fox": ("FOXA", None, ""), "": (None, "empty", ""), "GOOGL": ("GOOG", None, ""),
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.found, r.why, r.note) for r in sheets.looked_up(rows, "t", book, universe).collect()}
+    assert got == texts
+    assert sheets.disagreements(sheets.name_book(universe, class_of={"FOX": "FOXA"}), universe, {"FOX": "FOXA"}).isEmpty()
+    assert {r.name for r in sheets.disagreements(sheets.name_book(universe, spark.createDataFrame([("F", "Apple")], "id string, form string")), universe).collect()} == {"Apple Inc."}
+
+
+def test_jobs_in_parts(spark, tmp_path):
+    rows = spark.range(3, 40).select((F.col("id") * 7).alias("k"), F.col("id").cast("string").alias("v"))
+    make = lambda r=rows, size=10, **c: parts.Job(spark, str(tmp_path / "job"), r, "k", size, c)
+    work = lambda r: r.withColumn("w", F.length("v"))
+    job = make(revision="a")
+    assert job.parts == 4 and job.run(work, most=2) == [0, 1] and [job.state(p) for p in range(4)] == ["done", "done", "open", "open"]
+    with pytest.raises(relational.Refused):
+        job.result()
+    again = make(revision="a")
+    assert again.run(work) == [2, 3] and again.run(work) == []
+    assert sorted((r.k, r.part, r.w) for r in again.result().collect()) == [(7 * i, (i - 3) // 10, len(str(i))) for i in range(3, 40)]
+    rows.limit(3).write.mode("overwrite").parquet(str(tmp_path / "job" / "part-000001"))
+    assert again.state(1) == "invalid" and again.run(work) == [1]
+    again.redo([3])
+    assert again.state(3) == "open" and again.run(work, stop=lambda: True) == [] and again.run(work) == [3]
+    for other in ({"revision": "b"}, {"revision": "a", "size": 9}, {"revision": "a", "r": rows.limit(30)}):
+        with pytest.raises(relational.Refused):
+            make(**other)
+    with pytest.raises(relational.Refused):
+        again.redo([0]) or again.run(lambda r: r.limit(1))
+    with pytest.raises(relational.Refused):
+        parts.Job(spark, str(tmp_path / "twice"), rows.unionByName(rows), "k", 5, {})
+    with pytest.raises(relational.Refused):
+        relational.require_rows(rows, {"long": "length(v) < 2"}, "k")
