@@ -3,13 +3,15 @@
 A document is the set of its distinct 5-word shingles. Under each of ``PERMUTATIONS`` hash functions both the smallest
 and the largest value are kept: twice the signature for the same hashing. ``BANDS`` bands of six values deal documents
 into buckets; one bit of each value makes a sketch whose agreement estimates the similarity. Documents of one bucket
-whose sketches allow the threshold are connected, as a spanning forest, into candidate groups. Within each group the
-full sets are compared exactly, in blocks, and confirmed links give the components.
+whose sketches allow the threshold are connected, as a spanning forest, into candidate groups. The edges of the forest
+are confirmed on the full sets first, and confirmed edges give classes. Only where a group holds several classes are
+members of different classes compared, exactly, in pairs of blocks; confirmed links give the components.
 
 - Documents with equal sets are one node throughout, so thousands of copies cost one signature.
 - A pair at the threshold is missed by all bands with a probability of 3e-7, and by its sketch with less.
-- Buckets and groups have no cap: a large bucket is swept a member at a time against those not yet connected, a large
-  group is compared in pairs of blocks, each of them a task's work of bounded size.
+- Buckets and groups have no cap. Of a bucket beyond ``RUN`` members all are connected with its first, sketches or not,
+  so a task holds no more of it than that. A group of one class, however many near-copies it has, ships each set once an
+  edge; in a group of several, blocks of one class are not compared with each other.
 
 Words are lowered in A-Z and split at ASCII white space; with fewer than five, the whole sequence is the one shingle.
 A null, empty or blank text has an empty set and is linked with nothing. Repeated rows are linked like other copies:
@@ -41,6 +43,8 @@ _EXPECTED = (1 + THRESHOLD[0] / THRESHOLD[1]) / 2
 LEAST_AGREEMENT = int(_BITS * (_EXPECTED - 5.5 * (_EXPECTED * (1 - _EXPECTED) / _BITS) ** 0.5))
 #: Documents and shingles of a block of a group.
 BLOCK_DOCS, BLOCK_SHINGLES = 128, 1 << 18
+#: Members of a bucket whose sketches are compared.
+RUN = 10_000
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
@@ -155,36 +159,53 @@ def _candidates(nodes: DataFrame, n: int) -> DataFrame:
     rows = nodes.select("node", F.explode("bands").alias("key"), *[F.col("sketch")[k].alias(w) for k, w in enumerate(words)])
     rows = rows.repartition(n, "key").sortWithinPartitions("key", "node")
 
-    def run(batches):
-        rest: pa.Table | None = None
+    def links(t: pa.Table):
+        """Edges of whole buckets."""
+        key, node = np.asarray(t["key"]), np.asarray(t["node"])
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        ends = np.append(cut[1:], len(key))
+        many = ends - cut > 1
+        if many.any():
+            a, b = forest(np.stack([np.asarray(t[w]) for w in words], 1).view(U64), cut[many], ends[many])
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["u", "v"])
 
-        def links(t: pa.Table):
-            key, node = np.asarray(t["key"]), np.asarray(t["node"])
-            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            ends = np.append(cut[1:], len(key))
-            many = ends - cut > 1
-            if many.any():
-                a, b = forest(np.stack([np.asarray(t[w]) for w in words], 1).view(U64), cut[many], ends[many])
-                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["u", "v"])
+    def star(first: int, node: np.ndarray):
+        node = node[node != first]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), first)), pa.array(node)], ["u", "v"])
 
+    def run(batches):
+        rest, held = [], 0  # the last bucket, which may go on: parts and rows
+        hot: tuple[int, int] | None = None  # key and first member of a bucket beyond the bound
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            if rest is not None:
-                t = pa.concat_tables([rest, t])
-            key = np.asarray(t["key"])
+            key = np.asarray(batch.column("key"))
+            if hot is not None:
+                more = int(np.searchsorted(key, hot[0], "right"))
+                yield from star(hot[1], np.asarray(batch.column("node"))[:more])
+                batch, key = batch.slice(more), key[more:]
             if not len(key):
                 continue
-            last = int(np.searchsorted(key, key[-1]))  # the last run may go on in the next batch
-            yield from links(t.slice(0, last)) if last else ()
-            rest = t.slice(last).combine_chunks()
-        if rest is not None:
-            yield from links(rest)
+            hot = None
+            last = int(np.searchsorted(key, key[-1]))
+            if rest and (last or key[0] != rest[0].column("key")[0].as_py()):
+                yield from links(pa.Table.from_batches([*rest, batch.slice(0, last)]))
+                rest, held = [], 0
+            elif last:
+                yield from links(pa.Table.from_batches([batch.slice(0, last)]))
+            rest.append(batch.slice(last))
+            held += len(batch) - last
+            if held > RUN:
+                hot = int(key[-1]), rest[0].column("node")[0].as_py()
+                for part in rest:
+                    yield from star(hot[1], np.asarray(part.column("node")))
+                rest, held = [], 0
+        if rest:
+            yield from links(pa.Table.from_batches(rest))
 
     return rows.mapInArrow(run, "u long, v long").distinct()
 
 
-def confirmed(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links that hold on the full sets; with ``left`` mixed, only across its two sides count.
+def confirmed(sets: list[np.ndarray], left: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
+    """Links that hold on the full sets and connect what ``root`` says is not connected; with ``left`` mixed, only across its two sides.
 
     Shared shingles are counted by sparse products over the members' joint vocabulary, one member against all after it
     that it is not yet connected with.
@@ -198,33 +219,42 @@ def confirmed(sets: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]
     code[order] = np.cumsum(np.concatenate([[0], v[1:] != v[:-1]]))
     by_code, starts = owner[order], np.searchsorted(code[order], np.arange(code[order][-1] + 2))
     bounds = np.concatenate([[0], np.cumsum(sizes)])
-    root = np.arange(len(sets))
+    root = root.copy()
     two_sides = left.any() and not left.all()
     out = []
     for i in range(len(sets)):
         if two_sides and not left[i]:
             continue
+        open_ = (root != root[i]) & (~left if two_sides else np.arange(len(sets)) > i)
+        if not open_.any():
+            continue
         c = code[bounds[i] : bounds[i + 1]]
         lo, hi = starts[c], starts[c + 1]
         width = hi - lo
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
         shared = np.bincount(by_code[at], minlength=len(sets))
-        ok = THRESHOLD[1] * shared >= THRESHOLD[0] * (sizes[i] + sizes - shared)
-        ok &= root != root[i]
-        ok &= ~left if two_sides else np.arange(len(sets)) > i
-        for j in np.flatnonzero(ok):
+        for j in np.flatnonzero(open_ & (THRESHOLD[1] * shared >= THRESHOLD[0] * (sizes[i] + sizes - shared))):
             if root[j] != root[i]:
                 out.append((i, int(j)))
                 root[root == root[j]] = root[i]
     return out
 
 
-def _links(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """Confirmed links (u, v) within groups. ``members``: (node, grp, size), node being the doc_id or row that has the text."""
-    load = members.groupBy("grp").agg(F.count("*").alias("docs"), F.sum("size").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    placed = members.join(load.select("grp", blocks.alias("blocks")), "grp")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(F.col("node").alias("_node"), "grp", "block", "blocks")
+def _pairs(u: list[int], v: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
+def _blocks(docs, shingles):
+    """How many blocks of bounded documents and shingles."""
+    return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+def _part(node: str, of: str):
+    return F.pmod(F.xxhash64(node), F.col(of)).cast("int")
+
+
+def full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes of groups. ``docs``: (node, text)."""
 
     def read(batches):
         for batch in batches:
@@ -232,31 +262,75 @@ def _links(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
                 cut = batch.slice(first, 256)
                 body, offsets = common.text_column(cut.column("text"))
                 sets, bounds = shingle_sets(body, offsets)
-                data = pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[cut.column(c) for c in ("node", "grp", "block", "blocks")], data], ["node", "grp", "block", "blocks", "shingles"])
+                yield pa.RecordBatch.from_arrays([cut.column("node"), pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["node", "shingles"])
 
     # the same join at every size: which texts are shuffled must not hinge on what is small enough to broadcast
-    texts = docs.join(placed.hint("merge"), F.col("node") == F.col("_node")).select("node", "grp", "block", "blocks", "text")
-    sets = texts.mapInArrow(read, "node long, grp long, block int, blocks int, shingles binary")
-    # every pair of blocks once: (i, j) with i <= j
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))
-    dealt = sets.withColumn("pair", F.explode(pair)).select("grp", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "block", "node", "shingles")
-    dealt = dealt.repartition(n, "grp", "i", "j").sortWithinPartitions("grp", "i", "j", "node")
+    wanted = members.select(F.col("node").alias("_node")).hint("merge")
+    return docs.join(wanted, F.col("node") == F.col("_node")).select("node", "text").mapInArrow(read, "node long, shingles binary")
+
+
+def confirmed_edges(edges: DataFrame, members: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """The edges (u, v) that hold on the full sets. A node with many edges meets its neighbours in parts, its set once in each."""
+    sized = edges.join(members.select(F.col("node").alias("v"), "size"), "v")
+    load = sized.groupBy("u").agg(_blocks(F.count("*"), F.sum("size")).alias("parts"))
+    placed = edges.join(load, "u").withColumn("part", _part("v", "parts")).select("u", "part", F.col("v").alias("_node"), F.lit(1).alias("side"))
+    hubs = load.select("u", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("u").alias("_node"), F.lit(0).alias("side"))
+    dealt = placed.unionByName(hubs).join(sets, F.col("node") == F.col("_node")).select("u", "part", "side", "node", "shingles")
+    dealt = dealt.repartition(n, "u", "part").sortWithinPartitions("u", "part", "side", "node")
+
+    def check(batches):
+        for (hub, _), t in _runs(batches, ["u", "part"]):
+            node, side, data = np.asarray(t["node"]), np.asarray(t["side"]), [np.frombuffer(x.as_py(), U64) for x in t["shingles"]]
+            # rows that share a doc_id bring several sets of one node
+            own, near = [x for x, k in zip(data, side, strict=True) if not k], [(i, x) for i, x, k in zip(node, data, side, strict=True) if k]
+            holds = [i for i, x in near if any(alike(h, x) for h in own)]
+            yield _pairs([hub] * len(holds), holds)
+
+    return dealt.mapInArrow(check, "u long, v long").distinct()
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two ascending sets reach the threshold."""
+    least, most = sorted((len(a), len(b)))
+    if THRESHOLD[1] * least < THRESHOLD[0] * most:
+        return False
+    at = np.searchsorted(a, b)
+    shared = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    return THRESHOLD[1] * shared >= THRESHOLD[0] * (len(a) + len(b) - shared)
+
+
+def links_between(members: DataFrame, sets: DataFrame, n: int) -> DataFrame:
+    """Links (u, v) between members of different classes of a group. ``members``: (node, grp, class, size)."""
+    classes = members.groupBy("grp", "class").agg(F.count("*").alias("docs"), F.sum("size").alias("shingles"))
+    several = classes.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1").select(F.col("grp").alias("_g"))
+    classes = classes.join(several, F.col("grp") == F.col("_g")).drop("_g")
+    # a large class has blocks of its own; small ones share some. A block is its class, or null, and a number
+    own = F.when((F.col("docs") >= BLOCK_DOCS) | (F.col("shingles") >= BLOCK_SHINGLES), F.col("class"))
+    classes = classes.withColumn("of", own)
+    shares = classes.groupBy("grp", "of").agg(_blocks(F.sum("docs"), F.sum("shingles")).alias("blocks"))
+    blocks = shares.select("grp", "of", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("k"))
+    name = F.struct(F.coalesce("of", F.lit(-(1 << 62))).alias("of"), "k")
+    blocks = blocks.select("grp", "of", name.alias("block"))
+    other = blocks.select(F.col("grp").alias("_g"), F.col("of").alias("_of"), F.col("block").alias("_block"))
+    # every pair of blocks once, but for blocks of one class
+    pairs = blocks.join(other, (F.col("grp") == F.col("_g")) & (F.col("block") <= F.col("_block")) & ~F.coalesce(F.col("of") == F.col("_of"), F.lit(False)))
+    pairs = pairs.select("grp", F.col("block").alias("i"), F.col("_block").alias("j"))
+    sides = pairs.select("grp", "i", "j", F.col("i").alias("block")).unionByName(pairs.where("i <> j").select("grp", "i", "j", F.col("j").alias("block")))
+    known = classes.select("grp", "class", "of").join(shares.withColumnRenamed("grp", "_g").withColumnRenamed("of", "_of"), (F.col("grp") == F.col("_g")) & F.col("of").eqNullSafe(F.col("_of")))
+    placed = members.join(known.select("grp", "class", "of", "blocks"), ["grp", "class"]).withColumn("k", _part("node", "blocks"))
+    placed = placed.select("grp", name.alias("block"), "class", F.col("node").alias("_node")).join(sides, ["grp", "block"])
+    dealt = placed.join(sets, F.col("node") == F.col("_node"))
+    dealt = dealt.select("grp", F.xxhash64("i", "j").alias("pair"), (F.col("block") == F.col("i")).alias("left"), "node", "class", "shingles")
+    dealt = dealt.repartition(n, "grp", "pair").sortWithinPartitions("grp", "pair", "node")
 
     def check(batches):
-        u, v = [], []
-        for (_, i, j), t in _runs(batches, ["grp", "i", "j"]):
-            node, block = np.asarray(t["node"]), np.asarray(t["block"])
-            if len(node) < 2:
+        for _, t in _runs(batches, ["grp", "pair"]):
+            node, left, own = np.asarray(t["node"]), np.asarray(t["left"]), np.asarray(t["class"])
+            if len(node) < 2 or (own == own[0]).all():
                 continue
-            own = [np.frombuffer(x.as_py(), U64) for x in t["shingles"]]
-            for a, b in confirmed(own, (block == i) if i != j else np.ones(len(node), bool)):
-                u.append(int(node[a]))
-                v.append(int(node[b]))
-            if len(u) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-                u, v = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            root = np.unique(own, return_inverse=True)[1]
+            found = confirmed([np.frombuffer(x.as_py(), U64) for x in t["shingles"]], left, root)
+            yield _pairs([int(node[a]) for a, _ in found], [int(node[b]) for _, b in found])
 
     return dealt.mapInArrow(check, "u long, v long").distinct()
 
@@ -270,11 +344,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     ids = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     nodes = ids.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
     nodes = common.written(nodes, f"{folder}/nodes")
-    rough = components(_candidates(nodes, n), f"{folder}/rough")
+    edges = common.written(_candidates(nodes, n), f"{folder}/edges")
+    rough = components(edges, f"{folder}/rough")
     members = nodes.select("node", F.col("n").alias("size")).join(rough.withColumnRenamed("component", "grp"), "node")
-    members = common.written(members.select("node", "grp", "size"), f"{folder}/members")
+    members = common.written(members.groupBy("node", "grp").agg(F.sum("size").alias("size")), f"{folder}/members")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("node"), "text")
-    exact = components(_links(texts, members, n), f"{folder}/exact")
+    sets = common.written(full_sets(texts, members), f"{folder}/sets")
+    sure = common.written(confirmed_edges(edges, members, sets, n), f"{folder}/sure")
+    classed = components(sure, f"{folder}/classes1").select(F.col("node").alias("_n"), "component")
+    classed = members.join(classed, F.col("node") == F.col("_n"), "left").select("node", "grp", F.coalesce("component", "node").alias("class"), "size")
+    classed = common.written(classed, f"{folder}/classed")
+    more = links_between(classed, sets, n)
+    exact = components(sure.unionByName(more), f"{folder}/exact")
     classes = nodes.select("d1", "d2", "n", "node").join(exact, "node", "left").select(
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), F.col("n").alias("_n"), F.coalesce("component", "node").alias("component")
     )
