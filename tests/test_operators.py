@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillmark.operators import attribution, maintenance, matching, measure, parts, periods, relational, sampling, scorers, sheets, state
+from quillmark.operators import attribution, audit, maintenance, matching, measure, parts, periods, relational, sampling, scorers, sheets, state
 from quillmark.sources import tables
 
 
@@ -344,3 +344,35 @@ def test_jobs_in_parts(spark, tmp_path):
         parts.Job(spark, str(tmp_path / "twice"), rows.unionByName(rows), "k", 5, {})
     with pytest.raises(relational.Refused):
         relational.require_rows(rows, {"long": "length(v) < 2"}, "k")
+
+
+def test_audit_expressions(spark):
+    rows = spark.createDataFrame([(["Alpha", "Beta Co"], ["alpha inc", "Beta", "x"]), (["a"], []), ([], ["a"])], "m array<string>, e array<string>")
+    assert [r[0] for r in rows.select(audit.containing(F.col("m"), F.col("e"))).collect()] == [2, 0, 0]
+    s = spark.createDataFrame([(1, "A", [["A"], ["A", "B"], ["B"], [], ["C"]])], "id long, own string, named array<array<string>>")
+    assert tuple(audit.sentence_measures(s, "id", "named", "own").first()) == (1, 5, 1, 1, 2, 1, 2)
+    pieces = spark.createDataFrame([("a", "x" * 95, 100), ("a", "tiny", 100), ("b", "y" * 50, 50)], "g string, p string, n int")
+    assert {r.g: r.flags for r in audit.quality_flags(pieces, "g", "p", "n").collect()} == {"a": "tiny+whole", "b": ""}
+    marks = spark.createDataFrame([("k1", ["x", "y"], True), ("k2", ["x"], False)], "k string, o array<string>, r boolean")
+    omitted = spark.createDataFrame([("y", "k2")], "owner string, k string")
+    assert {r.owner: (r.n, r.right) for r in audit.owners_with_omitted(marks, "o", "r", omitted, "k").collect()} == {"x": (2, 1), "y": (2, 1)}
+    runs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, l string")
+    assert tuple(audit.changed_labels(runs, runs.where("k < 3").withColumn("l", F.lit("a")), "k", "l").first()) == (2, 1, 1)
+    d = spark.createDataFrame([("i", 0.9, True), ("i", 0.2, False), ("j", 0.8, False), ("j", 0.1, True), ("k", 0.3, False)], "i string, s double, y boolean")
+    assert tuple(audit.decided(d, "i", "y", "s", 0.5).first()) == (pytest.approx(1 / 3), pytest.approx(1 / 3), pytest.approx(1 / 3), pytest.approx(1 / 3))
+    pool = spark.createDataFrame([(1, "A Title!"), (2, "other")], "id long, t string")
+    seen = spark.createDataFrame([("a title",)], "t string")
+    assert [r.id for r in audit.without_copies(pool, "t", seen).collect()] == [2]
+    audit.check_draw(pool.where("id = 2"), "id", pool.where("id = 1"), "t", seen)
+    with pytest.raises(relational.Refused, match="titles"):
+        audit.check_draw(pool, "id", pool.limit(0), "t", seen)
+    lengths = spark.range(500).select("id", (F.col("id") * 37 % 101).alias("n"))
+    batches = audit.length_batches(lengths, "id", "n", 10, 5, 1)
+    worst = batches.groupBy("pool", "batch").agg(F.count("*").alias("c"), (F.max("n") - F.min("n")).alias("spread")).collect()
+    assert max(r.c for r in worst) == 10 and sum(r.c for r in worst) == 500 and max(r.spread for r in worst) < 60
+    texts = spark.createDataFrame([(k, "common words here " + ("odd strange text" if k == 3 else "and more of them")) for k in range(9)] + [(9, None)], "id long, t string")
+    near = audit.representative(texts, "id", "t", 3).collect()
+    assert len(near) == 3 and 3 not in {r.id for r in near}
+    e = audit.entity_measures(spark.createDataFrame([(1, ["a", "b"], ["b"], "a")], "id long, s array<string>, y array<string>, m string"), "id", "s", "y", "m").first()
+    assert (e.main_kept, e.recall) == (False, 0.5)
+    assert spark.range(1).select(audit.sensitivity(F.lit(0.2), F.lit(0.5), F.lit(0.1)).alias("v")).first().v == pytest.approx(0.1 / 0.18)
