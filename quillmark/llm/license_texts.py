@@ -79,3 +79,38 @@ KNOWN_DIGESTS: dict[str, str] = {
     "MPL-1.1": "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6",
     "MPL-2.0": "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
 }
+
+#: Names by which notices call licences.
+NAMES = {
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPL v3"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "New BSD License", "Modified BSD License"),
+    "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "CC-BY-NC-ND-4.0": ("CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    "CC-BY-NC-SA-4.0": ("CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    "CC-BY-ND-4.0": ("CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU GPL v2", "GPL v2"),
+    "GPL-3.0": ("GNU General Public License, version 3", "GNU GPL v3", "GPL v3"),
+    "ISC": ("ISC License",),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1", "GNU LGPL v2.1", "LGPL v2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License, version 3", "GNU LGPL v3", "LGPL v3"),
+    "MIT": ("MIT License", "MIT licence"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"),
+    "Unlicense": ("Unlicense",),
+    "Zlib": ("zlib License",),
+}
+#: What a notice says before the name.
+PHRASES = (
+    "", "Released under", "Licensed under", "Distributed under", "Available under", "Published under", "This work is licensed under", "This software is licensed under",
+    "This project is licensed under", "This file is licensed under", "This text is licensed under", "License:",
+)
+
+
+def notices() -> set[tuple[str, str]]:
+    """(identifier, line): every phrase with every name, and the identifier lines of source files."""
+    made = {(i, f"{p} {article}{name}") for i, names in NAMES.items() for name in names for p in PHRASES for article in ("", "the ") if p or not article}
+    return made | {(i, f"SPDX-License-Identifier: {i}{end}") for i in NAMES for end in ("", "-only", "-or-later")}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -72,3 +73,41 @@ def line_evidence(text):
         last = words[-1]
         out.append((len(words), x, re.findall("[a-zA-Z\x80-\U0010ffff]+", line)))
     return out
+
+
+def toxicity(net, text, window, stride, run_hash):
+    """The network's score of one text, a window, a word and a gate at a time, in plain numbers."""
+    p = {k: v.astype(float).tolist() for k, v in net.p.items()}
+    known = {int(h): k + 1 for k, h in enumerate(net.vocabulary)}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    times = lambda v, m: [sum(x * row[j] for x, row in zip(v, m, strict=True)) for j in range(len(m[0]))]
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    vectors = []
+    for m in re.finditer(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode()):
+        word = m[0].lower()
+        own = p["word"][known.get(run_hash(word), 0)]
+        grams = []
+        for k, c in enumerate(word):
+            a, b = word[k - 1] if k else 0, word[k + 1] if k + 1 < len(word) else 0
+            code = ((a * 0x9E3779B1 & 0xFFFFFFFF) ^ (c * 0x85EBCA77 & 0xFFFFFFFF) ^ (b * 0xC2B2AE3D & 0xFFFFFFFF)) * 0x27D4EB2F & 0xFFFFFFFF
+            grams.append(p["char"][code >> 21])
+        vectors.append(own + [sum(g[j] for g in grams) / len(grams) for j in range(len(grams[0]))])
+    size = len(p["uf"])
+    logits = []
+    for first in range(0, max(0, -(-(len(vectors) - window) // stride)) * stride + 1, stride):
+        own = vectors[first : first + window]
+        states = []
+        for side, order in (("f", range(len(own))), ("b", range(len(own) - 1, -1, -1))):
+            h, found = [0.0] * size, [None] * len(own)
+            for t in order:
+                x = [a + b for a, b in zip(times(own[t], p[f"w{side}"]), p[f"c{side}"], strict=True)]
+                u = times(h, p[f"u{side}"])
+                z, r = ([sig(x[k * size + j] + u[k * size + j]) for j in range(size)] for k in (0, 1))
+                new = [math.tanh(x[2 * size + j] + r[j] * u[2 * size + j]) for j in range(size)]
+                h = found[t] = [n + g * (old - n) for n, g, old in zip(new, z, h, strict=True)]
+            states.append(found)
+        both = [a + b for a, b in zip(*states, strict=True)]
+        weight = [math.exp(dot([math.tanh(v) for v in times(s, p["attend"])], p["query"])) for s in both]
+        pooled = [sum(w * s[j] for w, s in zip(weight, both, strict=True)) / sum(weight) for j in range(2 * size)] if both else [0.0] * (2 * size)
+        logits.append(dot(pooled, p["out"]) + p["bias"][0])
+    return sig(net.scale * max(logits) + net.shift)

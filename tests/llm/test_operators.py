@@ -68,8 +68,26 @@ def test_license_forms(spark, docs, nothing):
     own = spark.createDataFrame([("B", "Same  ROW."), ("A", "same row"), ("E", "")], "license_id string, text string")
     assert by_id(licenses.scan(spark, docs, own).where("license_id is not null"), "license_id") == [(6, "A"), (6, "A")]
     assert licenses.scan(spark, docs).count() == len(DOCS) and licenses.scan(spark, nothing).count() == 0
-    spelt = licenses.scan(spark, spark.createDataFrame([(1, "The licence, sub-license"), (2, "the LICENSE sublicense")], "doc_id long, text string")).select("digest").distinct()
-    assert spelt.count() == 1
+    pairs = [("The licence, sub-license", "the LICENSE sublicense"), ("licence licence x", "license license x"), ("copyright holder copyright holders per cent", "Copyright owner copyright owners percent"), ("sub licence", "sublicense")]
+    for pair in pairs:  # equivalent words side by side too
+        spelt = licenses.scan(spark, spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")).select("digest").distinct()
+        assert spelt.count() == 1
+    assert licenses.scan(spark, spark.createDataFrame([(1, "the copy is free of a copyright"), (2, "the cop")], "doc_id long, text string")).select("digest").distinct().count() == 2
+
+
+def test_license_notices_of_lines(spark):
+    texts = [
+        (1, "Some prose.\nReleased under the MIT License.\nMore."), (2, "SPDX-License-Identifier: Apache-2.0\nLICENSED UNDER  CC BY-NC 4.0!\nLicensed under the Apache License, Version 2.0."),
+        (3, "The licence of the poet."), (4, None), (5, "This work is licensed under the GNU General Public Licence, version 3."), (6, "released under the MIT License, as it were"),
+    ]
+    got = {r.doc_id: r.notice_ids for r in licenses.scan(spark, spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {1: "MIT", 2: "Apache-2.0,CC-BY-NC-4.0", 3: "", 4: "", 5: "GPL-3.0", 6: ""}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="the test tables are not here")
+def test_license_lines_of_the_test_table(spark):
+    got = licenses.scan(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert got.where("notice_ids <> ''").count() > 10
 
 
 @pytest.mark.skipif(not os.path.exists("/usr/share/common-licenses/GPL-3"), reason="no licence texts here")
@@ -251,6 +269,21 @@ def test_toxicity(spark, docs, labels, nothing):
     assert toxicity.score(nothing, labels).count() == 0
 
 
+def test_scores_equal_a_plain_network():
+    """Each window alone, word by word, gives the scores that whole blocks of texts get."""
+    rng = random.Random(12)
+    words = ["alpha", "Beta", "gamma", "délta", "omega9", "vile", "x"]
+    texts = [" ".join(rng.choice(words[:-2]) for _ in range(rng.randrange(3, 60))) + (" vile thing" if k % 3 == 0 else "") for k in range(90)]
+    net = toxicity.train(texts, np.array([float(k % 3 == 0) for k in range(90)]), rounds=(2, 1))
+    run_hash = lambda w: int(X.run_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+    probe = texts[:6] + ["", None, "?!", "one", "unknown words, VILE words and 日本 " * 20, " ".join(rng.choice(words) for _ in range(33)), "a-b_c"]
+    body, offsets = common.text_column(pa.array(probe, pa.large_string()))
+    got = net.documents(body, offsets)
+    want = [brute.toxicity(net, t, toxicity.WINDOW, toxicity.STRIDE, run_hash) for t in probe]
+    assert np.allclose(got, want, atol=1e-4)
+    assert np.ptp(want) > 0.1
+
+
 # 4
 def near_rows():
     rng = random.Random(9)
@@ -283,6 +316,34 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows)
 
 
+def test_near_duplicates_in_hot_buckets(spark, monkeypatch):
+    """Buckets beyond the bound connect all their members with the first; the full sets decide as before."""
+    monkeypatch.setattr(minmax, "RUN", 2)
+    monkeypatch.setattr(minmax, "BLOCK_DOCS", 3)
+    rows = near_rows()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = minmax.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute.components(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_large_groups_ship_sets_once_an_edge(spark):
+    """A group of one class needs no pairs of blocks, whatever its size; one of two classes only those between them."""
+    n = 600
+    nodes = [(k, 0, 0 if k < n - 3 else n - 3 + k % 2, 40) for k in range(n)]
+    members = spark.createDataFrame(nodes, "node long, grp long, class long, size long")
+    sets = spark.createDataFrame([(k, np.arange(100 * c, 100 * c + 40, dtype=np.uint64).tobytes()) for k, _, c, _ in nodes], "node long, shingles binary")
+    one = members.where("class = 0")
+    assert minmax.links_between(one, sets, 4).isEmpty()
+    near = sets.where("node <> 599").unionByName(spark.createDataFrame([(599, np.arange(0, 40, dtype=np.uint64).tobytes())], "node long, shingles binary"))
+    found = {tuple(sorted(r)) for r in minmax.links_between(members, near, 4).collect()}
+    assert found and all(b == 599 for _, b in found)
+    edges = spark.createDataFrame([(0, k) for k in range(1, n)], "u long, v long")
+    assert {r.v for r in minmax.confirmed_edges(edges, members, near, 4).collect()} == {*range(1, n - 3), 599}
+
+
 def test_near_duplicates_edges(spark, docs, nothing):
     got = by_id(minmax.near_duplicates(spark, docs), "n_shingles", "component_id", "kept")
     assert len(got) == len(DOCS)
@@ -332,8 +393,9 @@ def test_topk_equals_brute_force(spark, monkeypatch, n, dim, clusters):
         rows += [(rows[3][0], rows[3][1]), (n + 1, rows[0][1]), (n + 2, None), (n + 3, [1.0, None]), (n + 4, [float("nan")] * dim), (n + 5, []), (None, rows[0][1]), (1000000, [1.0, 2.0]), (1000010, [2.0, 1.0])]
         rows += [(2000 + k, rows[0][1]) for k in range(40)]  # ties
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = sorted(tuple(r) for r in covertree.search(spark, df, "vec_id % 10 = 0").collect())
-    assert got == brute_topk(rows, 5, lambda q: q % 10 == 0)
+    out, scored = covertree.search_report(spark, df.withColumn("score", F.lit("x")).withColumn("block", F.lit(1)), "vec_id % 10 = 0")
+    assert sorted(tuple(r) for r in out.collect()) == brute_topk(rows, 5, lambda q: q % 10 == 0)
+    assert 0 <= scored <= 1 and (scored < 0.8 or clusters == 1)  # clusters leave room to prune
 
 
 def test_tree_covers_and_prunes():
@@ -347,6 +409,14 @@ def test_tree_covers_and_prunes():
         return below
 
     assert sorted(points(root)) == list(range(len(x)))
+    again = covertree.unflat(covertree.flat(root, x), x)
+
+    def same(a, b):
+        assert (a.center == b.center).all() and a.radius == b.radius and (a.points == b.points).all() and len(a.children) == len(b.children)
+        for c, d in zip(a.children, b.children, strict=True):
+            same(c, d)
+
+    same(root, again)
     q = x[:20] + 0.01
     s = covertree.Search(q, np.arange(-20, 0), x, np.arange(len(x)), 5, np.full(20, -np.inf))
     s.run(covertree.tree(q), root)
@@ -632,19 +702,53 @@ def test_arc_to_warc(spark, least):
     assert warc.round_trip(spark, df.limit(0)).count() == 0
 
 
-def test_arc_versions_and_lengths(tmp_path):
-    for version in (1, 2):
-        block = b"HTTP/1.1 200 OK\r\nX-Page-Id: 4\r\n\r\nbody\n\nhttp://not.a.header 1 2 3 4\n"
-        data = warc._member(warc.arc_version_block(version, "n.arc")) + warc._member(warc.arc_record(version, "http://u/", "20200102030405", block, "-", 0, "n.arc"))
-        (_, head, _), (_, fields, found) = warc.parse_arc(io.BytesIO(data))
-        assert found == block and fields["Archive-date"] == "20200102030405" and len(head) == len(warc.ARC_FIELDS[version].split(" "))
-        headers, out = next(warc.parse_warc(io.BytesIO(warc._member(warc.convert_record(fields, block, None)))))
-        assert headers["WARC-Date"] == "2020-01-02T03:04:05Z" and headers["WARC-Type"] == "response" and out == block and headers["WARC-Record-ID"].startswith("<urn:uuid:")
-        bad = data.replace(b"", b"", 0)
-        short = warc._member(warc.arc_version_block(version, "n.arc")) + warc._member(warc.arc_record(version, "http://u/", "20200102030405", block, "-", 0, "n.arc")[:-9])
-        assert bad == data
-        with pytest.raises(ValueError):
-            list(warc.parse_arc(io.BytesIO(short)))
-    odd = warc._member(b"filedesc://x 0 0 text/plain 9\n3 0 x\nURL\n\n")
+BLOCK = b"HTTP/1.1 200 OK\r\nX-Page-Id: 4\r\n\r\nbody\n\nhttp://not.a.header 1 2 3 4\n"
+
+
+def arc_parts(version, blocks):
+    parts = [warc.arc_version_block(version, "n.arc")]
+    return parts + [warc.arc_record(version, f"http://u/{k}", "20200102030405", b, "-", 0, "n.arc") for k, b in enumerate(blocks)]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_versions_and_lengths(version):
+    data = b"".join(map(warc._member, arc_parts(version, [BLOCK])))
+    (_, head, _), (_, fields, found) = warc.parse_arc(io.BytesIO(data))
+    assert found == BLOCK and fields["Archive-date"] == "20200102030405" and len(head) == len(warc.ARC_FIELDS[version].split(" "))
+    headers, out = next(warc.parse_warc(io.BytesIO(warc._member(warc.convert_record(fields, BLOCK, None)))))
+    assert headers["WARC-Date"] == "2020-01-02T03:04:05Z" and headers["WARC-Type"] == "response" and out == BLOCK and headers["WARC-Record-ID"].startswith("<urn:uuid:")
+    assert warc.warc_date("2020") == "2020-01-01T00:00:00Z" and warc.warc_date("20200315") == "2020-03-15T00:00:00Z"
+    first, record = arc_parts(version, [BLOCK])
+    longer, shorter = (first + record.replace(f" {len(BLOCK)}\n".encode(), f" {len(BLOCK) + d}\n".encode()) for d in (5, -5))
+    for bad in (first + record[:-9], longer, shorter, first + b"\nhttp://u/ 0 x\n", b"filedesc://x 0 0 text/plain 9\n3 0 x\nURL\n\n"):
+        for wrapped in (bad, warc._member(bad)):
+            with pytest.raises(ValueError):
+                list(warc.parse_arc(io.BytesIO(wrapped)))
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(io.BytesIO(warc._member(first + record)[:-20])))
+    assert list(warc.parse_arc(io.BytesIO(b""))) == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(max_size=300), max_size=6), st.data(), st.sampled_from([1, 2]), st.sampled_from([b"", b"\n", b"\r\n"]))
+def test_arcs_of_any_layout(blocks, data, version, end):
+    """Uncompressed, one member, a record a member, several a member, or members that end anywhere: the same records."""
+    whole = b"".join(arc_parts(version, blocks)) + end
+    cuts = sorted(data.draw(st.lists(st.integers(0, len(whole)), max_size=8)))
+    pieces = [whole[a:b] for a, b in zip([0, *cuts], [*cuts, len(whole)], strict=True)]
+    for raw in (whole, warc._member(whole), b"".join(map(warc._member, pieces))):
+        for chunk in (7, 1 << 20):
+            class Source(io.BytesIO):
+                def read(self, n=-1, chunk=chunk):
+                    return super().read(min(n, chunk) if n >= 0 else n)
+
+            got = list(warc.parse_arc(Source(raw)))
+            assert [b for _, _, b in got[1:]] == blocks and [f["URL"] for _, f, _ in got[1:]] == [f"http://u/{k}" for k in range(len(blocks))]
+
+
+def test_long_blocks_are_read_in_parts():
+    block = os.urandom(1 << 16) * 80
+    whole = b"".join(arc_parts(1, [block, b"x"]))
+    assert [len(b) for *_, b in warc.parse_arc(io.BytesIO(warc._member(whole)))][1:] == [len(block), 1]
     with pytest.raises(ValueError):
-        list(warc.parse_arc(io.BytesIO(odd)))
+        list(warc.parse_arc(io.BytesIO(b"x" * (warc.MOST_HEADER + (2 << 20)))))
