@@ -4,7 +4,9 @@ An ARC file opens with a version block that names its fields (five in version 1,
 header line of those fields and a block of the declared length. The converter walks by these lengths and synthesises
 for each record the WARC headers that ARC lacks: identifier, ISO timestamp, type, block and payload digests. Records
 with equal payloads of at least ``least_revisit`` bytes become one response, at the smallest page_id, and revisits of
-it. Both kinds of file are sequences of gzip members, one a record.
+it. Archives are read as plain bytes or as any sequence of gzip members, whether a member holds one record, several or
+a part of one; those written here have one a record. A record that is cut short, or whose length does not lead to the
+next header, is an error.
 
 A null html is an empty payload; a null or blank URL is ``about:blank`` and white space or control characters in one
 are percent-encoded. A null page_id is written without an identifier, read back as null, and comes after all others
@@ -33,6 +35,8 @@ ARC_FIELDS = {
 }
 #: A file is closed once it holds so many bytes before compression.
 FILE_BYTES = 256 << 20
+#: Bytes of a header line.
+MOST_HEADER = 1 << 20
 CRAWL_DATE = "20240101000000"
 LEVEL = 1
 _SPACE = re.compile(r"[\x00-\x20\x7f]")
@@ -47,20 +51,64 @@ def _member(data: bytes) -> bytes:
     return c.compress(data) + c.flush()
 
 
-def members(source, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """Content of each gzip member of a file, one at a time in memory."""
-    inflate, out, rest = zlib.decompressobj(31), [], b""
-    while True:
-        data = rest or source.read(chunk)
-        rest = b""
-        if not data:
-            if out or not inflate.eof and inflate.unconsumed_tail:
-                raise ValueError("the last gzip member is cut short")
-            return
-        out.append(inflate.decompress(data))
-        if inflate.eof:
-            yield b"".join(out)
-            rest, out, inflate = inflate.unused_data, [], zlib.decompressobj(31)
+class Stream:
+    """Lines and runs of bytes of an archive's content, a bounded part of it at a time in memory."""
+
+    def __init__(self, source, chunk: int = 1 << 20) -> None:
+        self.source, self.chunk, self.buffer, self.at = source, chunk, b"", 0
+        self.rest = source.read(chunk)
+        self.inflate = zlib.decompressobj(31) if self.rest[:2] == b"\x1f\x8b" else None
+        self.inside = False  # a member that has not ended
+
+    def _content(self) -> bytes:
+        """The next part; nothing at the end."""
+        while True:
+            data = self.rest or self.source.read(self.chunk)
+            self.rest = b""
+            if self.inflate is None or not (data or self.inside):
+                return data
+            out = self.inflate.decompress(data, self.chunk)
+            self.inside = not self.inflate.eof
+            if self.inflate.eof:
+                self.rest, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+            else:
+                self.rest = self.inflate.unconsumed_tail
+                if not (data or out):
+                    raise ValueError("the last gzip member is cut short")
+            if out:
+                return out
+
+    def _more(self) -> bool:
+        part = self._content()
+        self.buffer, self.at = self.buffer[self.at :] + part, 0
+        return bool(part)
+
+    def line(self) -> bytes:
+        """Up to the next line feed, with it; nothing at the end."""
+        while (end := self.buffer.find(b"\n", self.at) + 1) == 0:
+            if len(self.buffer) - self.at > MOST_HEADER:
+                raise ValueError("a header line is too long")
+            if not self._more():
+                end = len(self.buffer)
+                break
+        found, self.at = self.buffer[self.at : end], end
+        return found
+
+    def run(self, n: int) -> bytes:
+        """The next ``n`` bytes, or what there is."""
+        parts = []
+        while n > 0 and (self.at < len(self.buffer) or self._more()):
+            parts.append(self.buffer[self.at : self.at + n])
+            self.at += len(parts[-1])
+            n -= len(parts[-1])
+        return b"".join(parts)
+
+
+def _text(data: bytes) -> str:
+    try:
+        return data.decode("utf-8")
+    except UnicodeDecodeError:
+        return data.decode("latin-1")
 
 
 def clean_url(url: str | None) -> str:
@@ -85,24 +133,27 @@ def arc_record(version: int, url: str, date: str, block: bytes, checksum: str, o
 
 def parse_arc(source) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(number, header fields, block) of every record, the version block first."""
-    names: list[str] = []
-    for k, data in enumerate(members(source)):
-        data = data.lstrip(b"\n") if k else data
-        head, _, block = data.partition(b"\n")
-        fields = head.decode("utf-8").split(" ")
-        if k == 0:
-            lines = block.decode("utf-8").split("\n")
-            version = int(lines[0].split(" ")[0])
-            names = lines[1].split(" ")
-            if names != ARC_FIELDS.get(version, "").split(" "):
-                raise ValueError(f"unknown ARC version or fields: {lines[:2]}")
+    stream, names, number = Stream(source), [], 0
+    while head := stream.line():
+        if not head.strip():
+            continue
+        fields = _text(head).rstrip("\r\n").split(" ")
+        if not fields[-1].isdigit():
+            raise ValueError(f"record {number}: no length in its header")
+        length = int(fields[-1])
+        block = stream.run(length)
+        if len(block) < length or stream.line().strip():
+            raise ValueError(f"record {number}: its declared length is wrong")
+        if not number:
+            about = _text(block).split("\n")
+            version = about[0].split(" ")[0]
+            names = about[1].strip().split(" ") if len(about) > 1 else []
+            if not version.isdigit() or names != ARC_FIELDS.get(int(version), "").split(" "):
+                raise ValueError(f"unknown ARC version or fields: {about[:2]}")
         if len(fields) != len(names):
-            raise ValueError(f"record {k}: {len(fields)} fields, {len(names)} declared")
-        record = dict(zip(names, fields, strict=True))
-        length = int(record["Archive-length"])
-        if len(block) < length or block[length:].strip(b"\n"):
-            raise ValueError(f"record {k}: its declared length is wrong")
-        yield k, record, block[:length]
+            raise ValueError(f"record {number}: {len(fields)} fields, {len(names)} declared")
+        yield number, dict(zip(names, fields, strict=True)), block
+        number += 1
 
 
 def split_http(block: bytes) -> tuple[bytes, bytes]:
@@ -119,6 +170,7 @@ def _page_id(head: bytes) -> int | None:
 
 
 def warc_date(date: str) -> str:
+    date += "00000101000000"[len(date) :]  # a shorter date is the first moment of its year, month or day
     return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
 
 
@@ -155,16 +207,22 @@ def convert_record(fields: dict[str, str], block: bytes, response: dict | None)
 
 
 def parse_warc(source) -> Iterator[tuple[dict[str, str], bytes]]:
-    for data in members(source):
-        head, _, rest = data.partition(b"\r\n\r\n")
-        lines = head.decode("utf-8").split("\r\n")
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"not a WARC record: {lines[0]!r}")
-        headers = dict(x.split(": ", 1) for x in lines[1:])
+    """(headers, block) of every record, by the declared lengths."""
+    stream = Stream(source)
+    while first := stream.line():
+        if not first.strip():
+            continue
+        if first.rstrip(b"\r\n") != b"WARC/1.1":
+            raise ValueError(f"not a WARC record: {first[:80]!r}")
+        headers = {}
+        while (line := stream.line()).strip():
+            name, _, value = line.decode("utf-8").rstrip("\r\n").partition(": ")
+            headers[name] = value
         n = int(headers["Content-Length"])
-        if rest[n:] != b"\r\n\r\n":
+        block = stream.run(n)
+        if len(block) < n or stream.run(4) != b"\r\n\r\n":
             raise ValueError("a record's declared length is wrong")
-        yield headers, rest[:n]
+        yield headers, block
 
 
 _MANIFEST = "path string, records long"
