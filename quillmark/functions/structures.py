@@ -56,10 +56,8 @@ def merged(scores: Column, mapping: Mapping[str, Sequence[str]]) -> Column:
 
 
 def merge_labels(labels: Column, renamed: Mapping[str, str]) -> Column:
-    out = labels
-    for old, new in renamed.items():
-        out = F.transform(out, lambda x, old=old, new=new: F.when(x == old, new).otherwise(x))
-    return F.array_distinct(out)
+    names = F.create_map(*[F.lit(x) for kv in renamed.items() for x in kv])
+    return F.array_distinct(F.transform(labels, lambda x: F.coalesce(F.try_element_at(names, x), x)))
 
 
 def group_share(scores: Column, group_of: Mapping[str, str], label: Column) -> Column:

@@ -324,7 +324,10 @@ def summary_routing(spark, sf):
     return _docs(spark, sf).select("doc_id", T.needs_summary(c).alias("text_source"), T.fragment(F.col("source"), c).alias("fragment"))
 
 
-@query()
+_MARKED = "regexp_replace(regexp_replace(text, '([.!?])(\\s+[A-Z0-9\"''])', concat('\\1', chr(1), '\\2'), 'g'), '([.!?])(\\s+[A-Z0-9\"''])', concat('\\1', chr(1), '\\2'), 'g')"
+
+
+@query(f"""SELECT doc_id, CASE WHEN length(text) > 2000 THEN array_to_string((string_split({_MARKED}, chr(1)))[1:3], '') ELSE text END AS summary_text, CASE WHEN length(text) > 2000 THEN 'summary' ELSE 'original' END AS text_source FROM documents""")
 def lexical_summaries(spark, sf):
     return scorers.summarised(_docs(spark, sf), "doc_id", "text")
 
