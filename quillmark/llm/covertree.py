@@ -1,10 +1,11 @@
 """Operator 5, exact top-k search: dual-tree search over cover trees.
 
 Vectors are turned into integers and dealt into blocks of near neighbours of even size; queries likewise into groups.
-Each block builds a cover tree over its vectors and each group one over its queries. A pair of nodes is pruned when the
-largest inner product that its two covering balls allow is below the worst kth score of the query node. The same bound
-on whole blocks and groups decides beforehand which blocks a group is sent to, once its own block has given it kth
-scores. Pruning is by strict comparison, so ties are never lost, and scores are exact.
+A cover tree is built over the vectors of each block, and over the queries of each group once, to be sent along with
+them. A pair of nodes is pruned when the largest inner product that its two covering balls allow is below the worst kth
+score of the query node. The same bound on whole blocks and groups decides beforehand which blocks a group is sent to,
+once its own block has given it kth scores. Pruning is by strict comparison, so ties are never lost, and scores are
+exact. ``search_report`` says what share of all pairs was scored.
 
 Vectors that are null or empty or hold null or non-finite components, and rows without vec_id, take no part. Vectors
 are compared with those of the same length only. Repeated rows (id and vector) count once; a query's candidates are the
@@ -78,6 +79,36 @@ def tree(x: np.ndarray) -> Node:
     return build(everything, 0, np.sqrt(((x - x[0]) ** 2).sum(1)))
 
 
+def flat(root: Node, x: np.ndarray) -> bytes:
+    """A tree as numbers, in preorder: of each node its centre's row, radius, children and points, then the points of leaves."""
+    numbers, radii, leaves = [], [], []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        at = int(np.flatnonzero((x == node.center).all(1))[0])
+        numbers += [at, len(node.children), len(node.points)]
+        radii.append(node.radius)
+        leaves.append(node.points)
+        todo += node.children[::-1]
+    parts = np.array([len(radii)], np.int64), np.array(numbers, np.int64), np.array(radii), np.concatenate(leaves).astype(np.int64)
+    return b"".join(p.tobytes() for p in parts)
+
+
+def unflat(data: bytes, x: np.ndarray) -> Node:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    numbers, radii = np.frombuffer(data, np.int64, 3 * n, 8).reshape(n, 3), np.frombuffer(data, float, n, 8 + 24 * n)
+    points, at, first = np.frombuffer(data, np.int64, -1, 8 + 32 * n), 0, 0
+
+    def read() -> Node:
+        nonlocal at, first
+        center, children, size = numbers[at].tolist()
+        own, radius = points[first : first + size], float(radii[at])
+        at, first = at + 1, first + size
+        return Node(x[center], radius, own, [read() for _ in range(children)])
+
+    return read()
+
+
 def ceiling(ca: np.ndarray, ra, na, cb: np.ndarray, rb, nb):
     """The largest inner product of a point of one ball with one of another, with room for rounding."""
     top = cb @ ca + ra * nb + rb * na + ra * rb
@@ -89,7 +120,7 @@ class Search:
 
     def __init__(self, q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int, floor: np.ndarray) -> None:
         self.q, self.q_ids, self.x, self.x_ids, self.k = q, q_ids, x, x_ids, k
-        self.floor = floor
+        self.floor, self.norms = floor, np.sqrt((q * q).sum(1))
         self.score = np.full((len(q), k), -np.inf)
         self.ids = np.full((len(q), k), np.iinfo(np.int64).max)
         self.scored = 0
@@ -97,7 +128,12 @@ class Search:
     def worst(self, points: np.ndarray) -> float:
         return float(np.maximum(self.score[points, -1], self.floor[points]).min())
 
-    def base(self, qs: np.ndarray, xs: np.ndarray) -> None:
+    def base(self, qs: np.ndarray, leaf: Node) -> None:
+        """Score the queries that the leaf's ball can still serve, each by its own kth score."""
+        tops = ceiling(leaf.center, leaf.radius, leaf.norm, self.q[qs], 0.0, self.norms[qs])
+        qs, xs = qs[tops >= np.maximum(self.score[qs, -1], self.floor[qs])], leaf.points
+        if not len(qs):
+            return
         self.scored += len(qs) * len(xs)
         s = self.q[qs] @ self.x[xs].T
         s[self.q_ids[qs][:, None] == self.x_ids[xs]] = -np.inf
@@ -112,7 +148,7 @@ class Search:
         if ceiling(a.center, a.radius, a.norm, b.center, b.radius, b.norm) < self.worst(a.points):
             return
         if not a.children and not b.children:
-            self.base(a.points, b.points)
+            self.base(a.points, b)
         elif b.children and (not a.children or b.radius >= a.radius):
             tops = ceiling(a.center, a.radius, a.norm, b.centers, b.radii, b.norms)
             for j in np.argsort(-tops, kind="stable"):
@@ -190,6 +226,11 @@ def _cells(rows: DataFrame) -> tuple[DataFrame, Callable]:
 
 def search(spark: SparkSession, vectors: DataFrame, query: str, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best of each row that the SQL condition ``query`` chooses."""
+    return search_report(spark, vectors, query, k)[0]
+
+
+def search_report(spark: SparkSession, vectors: DataFrame, query: str, k: int = 5) -> tuple[DataFrame, float]:
+    """The result of ``search``, and the share of all pairs of a query and a vector of its length that were scored."""
     folder = common.scratch(spark, "top-k")
     rows = common.written(_cells(integers(vectors).dropDuplicates(["vec_id", "v"])), f"{folder}/rows")
     cells = sorted((r["dim"], r["cell"], r["n"]) for r in rows.groupBy("dim", "cell").agg(F.count("*").alias("n")).collect())
@@ -227,12 +268,14 @@ def search(spark: SparkSession, vectors: DataFrame, query: str, k: int = 5) -> D
                 home = int(np.bincount(np.unique(t["block"], return_inverse=True)[1]).argmax())
                 home = int(np.unique(t["block"])[home])
                 radius = float(np.sqrt(((x - center) ** 2).sum(1).max()))
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([home]), pa.array([center.tolist()], pa.list_(pa.float64())), pa.array([radius])], [key, "home", "center", "radius"])
+                made = flat(tree(x), x) if key == "grp" else b""
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([home]), pa.array([center.tolist()], pa.list_(pa.float64())), pa.array([radius]), pa.array([len(x)]), pa.array([made], pa.binary())], [key, "home", "center", "radius", "n", "tree"])
 
-        return df.repartition(n, key).sortWithinPartitions(key).mapInArrow(run, f"{key} long, home long, center array<double>, radius double")
+        kind = f"{key} long, home long, center array<double>, radius double, n long, tree binary"
+        return df.repartition(n, key).sortWithinPartitions(key, "vec_id", "v").mapInArrow(run, kind)
 
-    blocks = balls(data, "block").collect()  # at most MOST_BLOCKS and the lengths' remainders
-    groups = common.held(balls(asked.select("grp", "block", "v"), "grp"))
+    blocks = balls(data, "block").drop("tree").collect()  # at most MOST_BLOCKS and the lengths' remainders
+    groups = common.held(balls(asked, "grp"))
     nothing = F.lit(float("-inf"))
 
     def find(links: DataFrame, floors: DataFrame | None) -> DataFrame:
@@ -242,28 +285,36 @@ def search(spark: SparkSession, vectors: DataFrame, query: str, k: int = 5) -> D
             sent = sent.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", nothing))
         else:
             sent = sent.withColumn("floor", nothing)
-        own = data.join(links.select("block").distinct(), "block", "left_semi").select(F.lit(-1).cast("long").alias("grp"), "block", "vec_id", "v", nothing.alias("floor"))
-        both = own.unionByName(sent.select("grp", "block", "vec_id", "v", "floor"))
+        none = F.lit(None).cast("binary")
+        own = data.join(links.select("block").distinct(), "block", "left_semi").select(F.lit(-1).cast("long").alias("grp"), "block", "vec_id", "v", nothing.alias("floor"), none.alias("tree"))
+        trees = links.join(groups.select("grp", "tree"), "grp").select("grp", "block", F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<long>").alias("v"), nothing.alias("floor"), "tree")
+        both = own.unionByName(sent.select("grp", "block", "vec_id", "v", "floor", none.alias("tree"))).unionByName(trees)
 
         def run(batches):
             held: tuple | None = None
+            scored = 0
             for (name, grp), t in _runs(batches, ["block", "grp"]):
-                x, ids = _matrix(t["v"].combine_chunks()), np.asarray(t["vec_id"])
                 if grp == -1:
-                    held = (name, x, ids, tree(x))
+                    x = _matrix(t["v"].combine_chunks())
+                    held = (name, x, np.asarray(t["vec_id"]), tree(x))
                     continue
                 if held is None or held[0] != name:
                     continue
+                made, t = t["tree"][0].as_py(), t.slice(1)  # the row without an id comes first
+                x, ids = _matrix(t["v"].combine_chunks()), np.asarray(t["vec_id"])
                 s = Search(x, ids, held[1], held[2], k, np.asarray(t["floor"], float))
-                s.run(tree(x), held[3])
+                s.run(unflat(made, x), held[3])
+                scored += s.scored
                 found = np.isfinite(s.score)
                 who, rank = np.nonzero(found)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[who]), pa.array(s.ids[found]), pa.array(s.score[found].astype(np.int64))], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([scored], pa.int64())], ["query_id", "vec_id", "score"])
 
-        dealt = both.repartition(n, "block").sortWithinPartitions("block", "grp", "vec_id")
+        dealt = both.repartition(n, "block").sortWithinPartitions("block", "grp", F.asc_nulls_first("vec_id"), "v")
         return dealt.mapInArrow(run, "query_id long, vec_id long, score long")
 
-    first = common.held(find(groups.select("grp", F.col("home").alias("block")), None))
+    first_found = common.held(find(groups.select("grp", F.col("home").alias("block")), None))
+    first = first_found.where("query_id is not null")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.withColumn("r", F.row_number().over(order)).where(F.col("r") == k)
     kth = common.held(kth.select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor")))
@@ -283,11 +334,17 @@ def search(spark: SparkSession, vectors: DataFrame, query: str, k: int = 5) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([g["grp"]] * len(to), pa.int64()), pa.array(to, pa.int64())], ["grp", "block"])
 
     links = common.held(groups.join(worst, "grp").mapInArrow(reach, "grp long, block long"))
-    found = first.unionByName(find(links, kth))
+    more = common.held(find(links, kth))
+    done = first_found.unionByName(more).where("query_id is null").agg(F.sum("score")).first()[0] or 0
+    queries = {}
+    for g in groups.groupBy(F.size("center").alias("dim")).agg(F.sum("n").alias("n")).collect():
+        queries[g["dim"]] = g["n"]
+    pairs = sum(n * sum(c[2] for c in cells if c[0] == dim) for dim, n in queries.items())
+    found = first.unionByName(more.where("query_id is not null"))
     out = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     out = common.held(out)
     common.drop(spark, folder)
-    return out
+    return out, done / pairs if pairs else 0.0
 
 
 SQL = """
