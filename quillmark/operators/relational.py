@@ -138,12 +138,29 @@ def shared_across(rows: DataFrame, content: str, fold: str) -> DataFrame:
     return rows.groupBy(content).agg(F.countDistinct(fold).alias("folds"), F.count("*").alias("n")).where("folds > 1")
 
 
-def copies_of(own: DataFrame, train: DataFrame, id_col: str, shingles: str, least: float = 0.8) -> DataFrame:
-    """Texts that one other text holds at least a share of the shingles of. Inputs: (id, array of distinct shingles)."""
-    a = own.select(F.col(id_col), F.size(shingles).alias("_n"), F.explode(shingles).alias("_s"))
-    b = train.select(F.col(id_col).alias("_other"), F.explode(shingles).alias("_s"))
-    shared = a.join(b, "_s").groupBy(id_col, "_other", "_n").agg(F.count("*").alias("shared"))
-    return shared.where((F.col("shared") >= F.lit(least) * F.col("_n")) & (F.col(id_col) != F.col("_other"))).select(id_col, F.col("_other").alias("other_id"), "shared", F.col("_n").alias("own"))
+def copies_of(own: DataFrame, train: DataFrame, id_col: str, shingles: str, least: float = 0.8, same_ids: bool = True) -> DataFrame:
+    """Texts that one other text holds at least a share of the shingles of. Inputs: (id, array of distinct shingles).
+
+    A text that shares ``least`` of its shingles shares one of any choice of the others and one more, so candidates meet
+    in the rarest that many only: a shingle that most texts hold joins nothing unless a text has no rarer ones. Pairs
+    are then counted on the full sets. ``same_ids``: equal ids are the same text and no pair.
+    """
+    a = own.select(F.col(id_col), F.array_distinct(shingles).alias("_s")).where(F.size("_s") > 0)
+    b = train.select(F.col(id_col).alias("_other"), F.array_distinct(shingles).alias("_t"))
+    each = a.select(id_col, F.size("_s").alias("_n"), F.explode("_s").alias("_x"))
+    seen = b.select("_other", F.explode("_t").alias("_x"))
+    wanted = each.select(F.col("_x").alias("_w")).distinct()
+    common = seen.join(wanted, F.col("_x") == F.col("_w"), "left_semi").groupBy(F.col("_x").alias("_y")).agg(F.count("*").alias("_df"))
+    ranked = each.join(common, F.col("_x") == F.col("_y"), "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
+    order = Window.partitionBy(id_col).orderBy("_df", "_x")
+    few = F.col("_n") - F.ceil(F.lit(least) * F.col("_n")) + 1
+    rare = ranked.withColumn("_r", F.row_number().over(order)).where((F.col("_r") <= few) & (F.col("_df") > 0)).select(id_col, "_x")
+    met = rare.join(seen.withColumnRenamed("_x", "_z"), F.col("_x") == F.col("_z")).select(F.col(id_col).alias("_a"), F.col("_other").alias("_b")).distinct()
+    if same_ids:
+        met = met.where("_a <> _b")
+    full = met.join(a, F.col("_a") == F.col(id_col)).join(b, F.col("_b") == F.col("_other"))
+    counted = full.select("_a", "_b", F.size(F.array_intersect("_s", "_t")).cast("long").alias("shared"), F.size("_s").alias("own"))
+    return counted.where(F.col("shared") >= F.lit(least) * F.col("own")).select(F.col("_a").alias(id_col), F.col("_b").alias("other_id"), "shared", "own")
 
 
 def fingerprint(rows: DataFrame, id_col: str) -> DataFrame:

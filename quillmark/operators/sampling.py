@@ -85,8 +85,14 @@ def strata_sizes(frame: DataFrame, stratum: str, taken: Column, chosen: Column)
 
 
 def slices(rows: DataFrame, order_by: Sequence[str], size: int, within: str | None = None) -> DataFrame:
-    """Fixed-size parts of an order, within a group."""
-    w = (Window.partitionBy(within) if within else Window.partitionBy(F.lit(0))).orderBy(*order_by)
+    """Fixed-size parts of an order, within a group, or of all rows by one numeric key that tells them apart."""
+    if within is None:
+        if len(order_by) != 1:
+            raise ValueError("an order of all rows takes one numeric key")
+        from quillmark.operators.parts import numbered
+
+        return numbered(rows, order_by[0]).withColumn("part", F.floor(F.col("rank") / size).cast("int")).drop("rank")
+    w = Window.partitionBy(within).orderBy(*order_by)
     return rows.withColumn("part", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
 
 

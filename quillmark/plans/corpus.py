@@ -172,10 +172,8 @@ def shingle_copies(spark, sf):
         runs = F.array_distinct(F.transform(T.runs(F.lower("text"), 8), lambda r: F.md5(r)))
         return df.select(F.col(key).alias("id"), runs.alias("s")).where(F.size("s") > 0)
 
-    b, d = sets(table(spark, sf, "benchmark"), "item_id"), sets(_docs(spark, sf), "doc_id")
-    a = b.select("id", F.size("s").alias("own"), F.explode("s").alias("s"))
-    shared = a.join(d.select(F.col("id").alias("doc_id"), F.explode("s").alias("s")), "s").groupBy("id", "doc_id", "own").agg(F.count("*").alias("shared"))
-    return shared.where(F.col("shared") >= F.lit(0.8) * F.col("own")).select(F.col("id").alias("item_id"), "doc_id", "shared", "own")
+    out = relational.copies_of(sets(table(spark, sf, "benchmark"), "item_id"), sets(_docs(spark, sf), "doc_id"), "id", "s", 0.8, same_ids=False)
+    return out.select(F.col("id").alias("item_id"), F.col("other_id").alias("doc_id"), "shared", "own")
 
 
 @query("""SELECT doc_id, CAST(len(p) AS INTEGER) AS sentences, CAST(list_sum(list_transform(p, lambda s: length(s))) AS BIGINT) AS chars FROM (

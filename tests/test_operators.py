@@ -376,3 +376,21 @@ def test_audit_expressions(spark):
     e = audit.entity_measures(spark.createDataFrame([(1, ["a", "b"], ["b"], "a")], "id long, s array<string>, y array<string>, m string"), "id", "s", "y", "m").first()
     assert (e.main_kept, e.recall) == (False, 0.5)
     assert spark.range(1).select(audit.sensitivity(F.lit(0.2), F.lit(0.5), F.lit(0.1)).alias("v")).first().v == pytest.approx(0.1 / 0.18)
+
+
+def test_copies_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    sets = [(k, sorted({rng.choice("abcdefgh") + str(rng.randrange(6)) for _ in range(rng.randrange(1, 14))} | {"hot"})) for k in range(60)]
+    sets += [(100 + k, [x for x in s if rng.random() < 0.95] + ["more"]) for k, s in sets[:25]] + [(200, ["hot"]), (201, [])]
+    df = spark.createDataFrame(sets, "id long, s array<string>")
+    got = {(r.id, r.other_id, r.shared, r.own) for r in relational.copies_of(df, df, "id", "s").collect()}
+    want = {(i, j, len(set(a) & set(b)), len(set(a))) for i, a in sets for j, b in sets if i != j and a and len(set(a) & set(b)) >= 0.8 * len(set(a))}
+    assert got == want and len(want) > 25
+
+
+def test_slices_of_all_rows(spark):
+    rows = spark.range(0, 2500, 7).withColumn("v", F.lit(1))
+    got = {r.id: r.part for r in sampling.slices(rows.repartition(5), ["id"], 100).collect()}
+    assert got == {7 * k: k // 100 for k in range(len(got))}
