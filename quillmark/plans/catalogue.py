@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import corpus, facts, figures, marks, reports, rules  # noqa: F401  they register their queries
+from . import corpus, entries, facts, figures, marks, reports, rules  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, Query
 
 
