@@ -32,6 +32,8 @@ WEIGHT = 0.7
 ADDED = 0.5
 #: Bytes of text of a block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Tokens whose words and pairs a range of hashes holds at most, on the average.
+RANGE_TOKENS = 1 << 24
 #: Bytes hashed at once.
 _PIECE_BYTES = 1 << 18
 _MARK, _UNKNOWN = mix(np.array([0x6D61726B, 0x756E6B], U64))
@@ -180,15 +182,16 @@ def score(spark: SparkSession, docs: DataFrame, target: DataFrame, size: int = V
     if size < VOCABULARY:
         body, offsets = common.text_column(pa.array(vocabulary(docs, size), pa.large_string()))
         known = run_hashes(body, offsets[:-1], offsets[1:])
-    buckets = 2 * common.shuffle_partitions(spark)
     folder = common.scratch(spark, "cross-entropy")
     of_docs = blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), True, known)
     of_target = blocks(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), False, known)
     rows = _written(of_docs.unionByName(of_target), f"{folder}/blocks")
-    found = asked(rows, buckets).groupBy("bucket").applyInArrow(totals, "block long, bucket int, n_words long, t binary, b binary")
-    found = _written(found, f"{folder}/counts")
     sums = {r["background"]: r["n"] for r in rows.groupBy("background").agg(F.sum("n_tokens").alias("n")).collect()}
     total = [sums.get(False, 0), sums.get(True, 0)]
+    # a range of hashes is added up by one task at once, so their number grows with the texts
+    buckets = max(2 * common.shuffle_partitions(spark), -(-sum(total) // RANGE_TOKENS))
+    found = asked(rows, buckets).groupBy("bucket").applyInArrow(totals, "block long, bucket int, n_words long, t binary, b binary")
+    found = _written(found, f"{folder}/counts")
     # the mark is among the words counted; the mark and the unknown word are in the vocabulary besides the words
     told = len(known) if known is not None else (found.agg(F.sum("n_words")).first()[0] or 1) - 1
 

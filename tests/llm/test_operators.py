@@ -550,6 +550,15 @@ def test_cross_entropy_difference(spark, docs, nothing):
     assert moore_lewis.score(spark, docs, target).count() == len(DOCS) and moore_lewis.score(spark, nothing, target.limit(0)).count() == 0
 
 
+def test_cross_entropy_does_not_hang_on_ranges(spark, monkeypatch):
+    corpus = spark.createDataFrame([(k, f"the cat number {k % 5} sat on mat {k}") for k in range(60)], "doc_id long, text string")
+    target = corpus.limit(7).withColumnRenamed("doc_id", "item_id")
+    want = sorted(map(tuple, moore_lewis.score(spark, corpus, target).collect()))
+    monkeypatch.setattr(moore_lewis, "RANGE_TOKENS", 20)
+    monkeypatch.setattr(moore_lewis, "BLOCK_BYTES", 100)
+    assert sorted(map(tuple, moore_lewis.score(spark, corpus, target).collect())) == want
+
+
 def test_cross_entropy_tells_rare_words_apart(spark):
     frequent = " ".join(f"f{k} f{k}" for k in range(1500))
     target = spark.createDataFrame([(1, "quark gluon quark gluon")], "item_id long, text string")
