@@ -102,7 +102,7 @@ def text_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[at[0] : at[-1]], at - at[0]
 
 
-def pieces(offsets: np.ndarray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def pieces(offsets: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``most`` bytes; a longer text is a range of its own."""
     n, first = len(offsets) - 1, 0
     while first < n:
