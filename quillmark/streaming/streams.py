@@ -12,11 +12,6 @@ from quillmark.functions import text as T
 from quillmark.operators import periods
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _stream(spark: SparkSession, source: str, files_per_batch: int) -> DataFrame:
     """A folder as a stream of files; a lone file is the one its folder's pattern matches."""
     reader = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", files_per_batch)
@@ -27,20 +22,19 @@ def _stream(spark: SparkSession, source: str, files_per_batch: int) -> DataFrame
 
 
 def pending_bodies(spark: SparkSession, source: str, work: str, id_col: str, text: str, files_per_batch: int = 1) -> DataFrame:
-    """New bodies by hash as files arrive: those of a batch that no earlier batch had. Returns the table of them."""
+    """Each body by hash with its least id, as files arrive in any order. Returns the table of them.
+
+    Each batch keeps its own least ids, of which the result takes the least: a later file may hold a smaller id.
+    """
     stream = _stream(spark, source, files_per_batch)
     out = f"{work}/bodies"
 
     def batch(rows: DataFrame, number: int) -> None:
-        new = rows.groupBy(T.body_hash(F.col(text)).alias("body_hash")).agg(F.min(id_col).alias(id_col))
-        if _exists(spark, out):
-            # a repeated batch finds its own rows under its number and overwrites them
-            new = new.join(spark.read.parquet(out).where(F.col("batch") != number).select("body_hash"), "body_hash", "left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        rows.groupBy(T.body_hash(F.col(text)).alias("body_hash")).agg(F.min(id_col).alias(id_col)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(out).select("body_hash", id_col)
+    return spark.read.parquet(out).groupBy("body_hash").agg(F.min(id_col).alias(id_col))
 
 
 def period_counts(spark: SparkSession, source: str, work: str, date: str, key: str, files_per_batch: int = 1, **grid) -> DataFrame:

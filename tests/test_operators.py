@@ -1,5 +1,7 @@
 """Operators on small fixtures: state, relations, periods, sampling, measuring, matching, parsing, storage."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -394,3 +396,17 @@ def test_slices_of_all_rows(spark):
     rows = spark.range(0, 2500, 7).withColumn("v", F.lit(1))
     got = {r.id: r.part for r in sampling.slices(rows.repartition(5), ["id"], 100).collect()}
     assert got == {7 * k: k // 100 for k in range(len(got))}
+
+
+def test_streamed_bodies_take_the_least_id_of_all_files(spark, tmp_path):
+    from quillmark.streaming import streams
+
+    source = str(tmp_path / "docs")
+    for k, rows in enumerate([[(7, "a  b"), (8, None), (9, "c")], [(3, "a b"), (4, None), (5, "d"), (10, "c ")]]):
+        spark.createDataFrame(rows, "id long, t string").coalesce(1).write.mode("append").parquet(source)
+        for f in (tmp_path / "docs").glob("*.parquet"):
+            if f.stat().st_mtime > 2_000:  # the first files written are the oldest
+                os.utime(f, (1_000 + k, 1_000 + k))
+    got = streams.pending_bodies(spark, source, str(tmp_path / "work"), "id", "t")
+    assert len(list((tmp_path / "work" / "bodies").glob("batch=*"))) == 2
+    assert sorted(r.id for r in got.collect()) == [3, 4, 5, 9] and got.where("body_hash is null").count() == 1
