@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Unicode white space as Python's ``str.split`` reads it; Java's ``\s`` is ASCII only.
 SPACE = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+NO_SPACE = "[^" + SPACE[1:]
 SENTENCE_BREAK = "(?<=[.!?])\\s+(?=[A-Z0-9\"'])"
 
 #: Legal-form words dropped from a company name.
@@ -46,12 +47,13 @@ CHUNK_WORDS = 120
 
 
 def collapse(text: Column) -> Column:
-    """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(text, SPACE + "+", " "))
+    """Runs of white space as one space, none at the ends. Single spaces, which are most runs, are passed over."""
+    return F.trim(F.regexp_replace(text, f"{SPACE.replace('x20', 'x1f')}{SPACE}*| {SPACE}+", " "))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """A run of white space is read once: only its first character can begin a match at the end."""
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}(?<!{SPACE}{SPACE}){SPACE}*+\\z", "")
 
 
 def body_hash(text: Column) -> Column:
@@ -131,8 +133,8 @@ def sentences(text: Column) -> Column:
 
 
 def segments(text: Column) -> Column:
-    """Paragraphs of some length, in order."""
-    return F.filter(F.transform(F.split(text, "\n+"), strip), lambda s: F.length(s) >= LEAST_SEGMENT)
+    """Paragraphs of some length, in order: from the first to the last character of a line that is not white space."""
+    return F.regexp_extract_all(text, F.lit(f"{NO_SPACE}[^\\n]{{{LEAST_SEGMENT - 2}}}[^\\n]*{NO_SPACE}"), F.lit(0))
 
 
 def segment_text(text: Column, index: int) -> Column:
@@ -180,7 +182,8 @@ def keyword_hits(text: Column, terms: Sequence[str]) -> Column:
 
 
 def strip_boilerplate(text: Column) -> Column:
-    return F.regexp_replace(text, BOILERPLATE, " ")
+    """Tried only where a stretch between full stops and line ends begins, which is where every match begins: a stretch is read once."""
+    return F.regexp_replace(text, BOILERPLATE.replace("(?i)", "(?i)(?:\\A|(?<=[.\\n]))", 1), " ")
 
 
 def is_roundup(title: Column, slug: Column, title_companies: Column, ticker_forms: Column) -> Column:

@@ -97,3 +97,22 @@ def test_structures(spark):
     )
     assert r.p == ["a", "b"] and r.q == ["a"] and r.c == {"x": 1.0} and r.l == ["a", "b"] and r.f == 3 and r.g == "out_of_scope" and r.h == "assigned"
     assert not math.isnan(1.0)
+
+
+def test_text_rules_read_long_stretches_once(spark):
+    import time
+
+    odd = ["", " ", "\n", "a\n", " \u2003a \u00a0\n", "Sign up for x. y\n Click here", "é😀 disclosure: 😀.\nRelated Tickers", ".click here..", "x" * 19 + "\n" + "y" * 19 + " 😀\t\n\n\r" + "z" * 20, "a" + " " * 40 + "b", None]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    t = F.col("t")
+    plain = {
+        "b": F.regexp_replace(t, T.BOILERPLATE, " "), "s": F.regexp_replace(t, f"^{T.SPACE}+|{T.SPACE}+$", ""), "c": F.trim(F.regexp_replace(t, T.SPACE + "+", " ")),
+        "g": F.filter(F.transform(F.split(t, "\n+"), lambda x: F.regexp_replace(x, f"^{T.SPACE}+|{T.SPACE}+$", "")), lambda x: F.length(x) >= 20),
+    }
+    got = {"b": T.strip_boilerplate(t), "s": T.strip(t), "c": T.collapse(t), "g": T.segments(t)}
+    for r in df.select(*[c.alias(k + "0") for k, c in plain.items()], *[c.alias(k + "1") for k, c in got.items()]).collect():
+        assert [r[k + "0"] for k in plain] == [r[k + "1"] for k in got]
+    n, began = 60_000, time.monotonic()
+    long = spark.createDataFrame([("ab " * (n // 3),), ("a" + " " * n + "b",), ("😀b" * n,)], "t string")
+    assert long.select(F.sum(F.length(got["b"])), F.sum(F.length(got["s"])), F.sum(F.size(got["g"]))).first()[0] == n + n + 2 + 2 * n
+    assert time.monotonic() - began < 10
