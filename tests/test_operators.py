@@ -410,3 +410,21 @@ def test_streamed_bodies_take_the_least_id_of_all_files(spark, tmp_path):
     got = streams.pending_bodies(spark, source, str(tmp_path / "work"), "id", "t")
     assert len(list((tmp_path / "work" / "bodies").glob("batch=*"))) == 2
     assert sorted(r.id for r in got.collect()) == [3, 4, 5, 9] and got.where("body_hash is null").count() == 1
+
+
+def test_jobs_do_many_parts_in_one_pass(spark, tmp_path):
+    rows = spark.range(0, 4000, 2).select(F.col("id").alias("k"))
+    calls = []
+    work = lambda r: calls.append(1) or r.withColumn("w", F.col("k") + 1)
+    job = parts.Job(spark, str(tmp_path / "job"), rows, "k", 10, {})
+    assert job.run(work, most=1) == [0] and job.run(work) == list(range(1, 200)) and len(calls) == 2
+    job.redo([0, 5, 6, 199])
+    assert job.run(work, together=2) == [0, 5, 6, 199] and len(calls) == 4
+    assert sorted(map(tuple, job.result().collect())) == [(2 * k, 2 * k + 1, k // 10) for k in range(2000)]
+    assert job.result().columns == ["k", "w", "part"] and not list((tmp_path / "job").glob("draft*"))
+    job.redo([7])
+    with pytest.raises(relational.Refused):  # a row too many
+        job.run(lambda r: r.unionByName(spark.createDataFrame([(-5,)], "k long")))
+    assert job.run(lambda r: r.withColumn("x", F.lit(1))) == [7]
+    with pytest.raises(relational.Refused):  # columns that differ from those of the other parts
+        job.result()
