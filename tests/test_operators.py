@@ -428,3 +428,18 @@ def test_jobs_do_many_parts_in_one_pass(spark, tmp_path):
     assert job.run(lambda r: r.withColumn("x", F.lit(1))) == [7]
     with pytest.raises(relational.Refused):  # columns that differ from those of the other parts
         job.result()
+
+
+def test_resampled_draws_are_not_sent_through_the_driver(spark):
+    import hashlib
+    import re
+
+    data = [(f"c{k}", "abz"[k % 3], k % 5 == 0) for k in range(90)]
+    df = spark.createDataFrame(data, "c string, s string, x boolean")
+    out = measure.resampled(df, "c", F.col("x").cast("int"), F.lit(1), draws=40, seed=3, stratum="s", census=["z"])
+    got = out.collect()[0]
+    assert not re.search(r"BroadcastHashJoin \[_stratum#\d+, ", out._jdf.queryExecution().executedPlan().toString())
+    drawn = lambda d, s, i, n: int(int(hashlib.md5(f"3:{d}:{s}:{i}".encode()).hexdigest()[:12], 16) / 16**12 * n)
+    by = {s: [x for _, x in sorted((c, x) for c, t, x in data if t == s)] for s in "abz"}
+    values = sorted((sum(by["z"]) + sum(by[s][drawn(d, s, i, 30)] for s in "ab" for i in range(30))) / 90 for d in range(1, 41))
+    assert (got.point, got.low, got.high) == pytest.approx((18 / 90, values[round(0.025 * 39)], values[round(0.975 * 39)]))
