@@ -31,7 +31,7 @@ VOCABULARY = 2**63 - 1
 WEIGHT = 0.7
 ADDED = 0.5
 #: Bytes of text of a block; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
 #: Tokens whose words and pairs a range of hashes holds at most, on the average.
 RANGE_TOKENS = 1 << 24
 #: Bytes hashed at once.
@@ -145,14 +145,32 @@ def totals(table: pa.Table) -> pa.Table:
     sums = np.zeros((2, len(distinct)), np.int64)
     for r, k, end in zip(rows, keys, ends, strict=True):
         sums[int(r["background"]), at[end - len(k) : end]] += _unpacked(r["n"])  # a block's keys are distinct
-    words = int(((distinct & U64(1) == 1) & (sums[1] > 0)).sum())
     found = []
     for r, k, end in zip(rows, keys, ends, strict=True):
         if r["background"]:
             own = at[end - len(k) : end]
-            found.append((r["block"], r["bucket"], 0 if found else words, _packed(sums[0][own]), _packed(sums[1][own])))
-    columns = list(zip(*found, strict=True)) if found else [[]] * 5
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["block", "bucket", "n_words", "t", "b"])
+            found.append((r["block"], r["bucket"], _packed(sums[0][own]), _packed(sums[1][own])))
+    columns = list(zip(*found, strict=True)) if found else [[]] * 4
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.binary(), pa.binary()], strict=True)], ["block", "bucket", "t", "b"])
+
+
+def distinct_words(rows: DataFrame, buckets: int) -> int:
+    """How many words the blocks hold, by ranges of their hashes."""
+
+    def dealt(batches):
+        for batch in batches:
+            for data in batch.column("words").to_pylist():
+                h = np.cumsum(_unpacked(data, U64), dtype=U64)
+                bounds = np.searchsorted((h >> U64(32)) * U64(buckets) >> U64(32), np.arange(buckets + 1, dtype=U64))
+                own = [(k, _packed(np.diff(h[a:b], prepend=U64(0)))) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int32()), pa.array([x for _, x in own], pa.binary())], ["bucket", "words"])
+
+    def counted(table: pa.Table) -> pa.Table:
+        h = [np.cumsum(_unpacked(x, U64), dtype=U64) | U64(1) for x in table.column("words").to_pylist()]
+        return pa.table({"n": pa.array([len(np.unique(np.concatenate(h)))], pa.int64())})
+
+    parts = rows.select("words").mapInArrow(dealt, "bucket int, words binary").groupBy("bucket").applyInArrow(counted, "n long")
+    return parts.agg(F.sum("n")).first()[0] or 0
 
 
 def _written(df: DataFrame, uri: str) -> DataFrame:
@@ -190,10 +208,9 @@ def score(spark: SparkSession, docs: DataFrame, target: DataFrame, size: int = V
     total = [sums.get(False, 0), sums.get(True, 0)]
     # a range of hashes is added up by one task at once, so their number grows with the texts
     buckets = max(2 * common.shuffle_partitions(spark), -(-sum(total) // RANGE_TOKENS))
-    found = asked(rows, buckets).groupBy("bucket").applyInArrow(totals, "block long, bucket int, n_words long, t binary, b binary")
-    found = _written(found, f"{folder}/counts")
-    # the mark is among the words counted; the mark and the unknown word are in the vocabulary besides the words
-    told = len(known) if known is not None else (found.agg(F.sum("n_words")).first()[0] or 1) - 1
+    # the words are counted by themselves, so that the counts go to the blocks without being written as a table between
+    told = len(known) if known is not None else distinct_words(rows.where("background"), buckets)
+    found = asked(rows, buckets).groupBy("bucket").applyInArrow(totals, "block long, bucket int, t binary, b binary")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]

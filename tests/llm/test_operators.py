@@ -559,6 +559,17 @@ def test_cross_entropy_does_not_hang_on_ranges(spark, monkeypatch):
     assert sorted(map(tuple, moore_lewis.score(spark, corpus, target).collect())) == want
 
 
+def test_cross_entropy_writes_no_table_of_counts(spark, monkeypatch):
+    corpus = [(1, "the cat sat\tThe"), (2, None), (3, "  "), (4, "a mat")]
+    df, folders = spark.createDataFrame(corpus, "doc_id long, text string").repartition(2), []
+    real = moore_lewis._written
+    monkeypatch.setattr(moore_lewis, "_written", lambda rows, uri: folders.append(uri) or real(rows, uri))
+    assert moore_lewis.score(spark, df, df.limit(1)).count() == 4
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["blocks"]
+    assert moore_lewis.distinct_words(moore_lewis.blocks(df, True, None), 7) == 5
+    assert moore_lewis.BLOCK_BYTES >= 4 << 20  # a pair that recurs in a block is asked for once
+
+
 def test_cross_entropy_tells_rare_words_apart(spark):
     frequent = " ".join(f"f{k} f{k}" for k in range(1500))
     target = spark.createDataFrame([(1, "quark gluon quark gluon")], "item_id long, text string")
