@@ -31,9 +31,11 @@ VOCABULARY = 2**63 - 1
 WEIGHT = 0.7
 ADDED = 0.5
 #: Bytes of text of a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Tokens whose words and pairs a range of hashes holds at most, on the average.
 RANGE_TOKENS = 1 << 24
+#: Word hashes that a task holds before it sends them on to be counted.
+_HELD_WORDS = 1 << 22
 #: Bytes hashed at once.
 _PIECE_BYTES = 1 << 18
 _MARK, _UNKNOWN = mix(np.array([0x6D61726B, 0x756E6B], U64))
@@ -155,15 +157,27 @@ def totals(table: pa.Table) -> pa.Table:
 
 
 def distinct_words(rows: DataFrame, buckets: int) -> int:
-    """How many words the blocks hold, by ranges of their hashes."""
+    """How many words the blocks hold, by ranges of their hashes; a task sends a word once for many blocks."""
 
     def dealt(batches):
+        held, n = [], 0
         for batch in batches:
             for data in batch.column("words").to_pylist():
-                h = np.cumsum(_unpacked(data, U64), dtype=U64)
-                bounds = np.searchsorted((h >> U64(32)) * U64(buckets) >> U64(32), np.arange(buckets + 1, dtype=U64))
-                own = [(k, _packed(np.diff(h[a:b], prepend=U64(0)))) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int32()), pa.array([x for _, x in own], pa.binary())], ["bucket", "words"])
+                held.append(np.cumsum(_unpacked(data, U64), dtype=U64))
+                n += len(held[-1])
+                if n > _HELD_WORDS:
+                    held = [np.unique(np.concatenate(held))]
+                    n = len(held[0])
+                    if n > _HELD_WORDS // 2:
+                        yield sent(held[0])
+                        held, n = [], 0
+        if held:
+            yield sent(np.unique(np.concatenate(held)))
+
+    def sent(h: np.ndarray) -> pa.RecordBatch:
+        bounds = np.searchsorted((h >> U64(32)) * U64(buckets) >> U64(32), np.arange(buckets + 1, dtype=U64))
+        own = [(k, _packed(np.diff(h[a:b], prepend=U64(0)))) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if a < b]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in own], pa.int32()), pa.array([x for _, x in own], pa.binary())], ["bucket", "words"])
 
     def counted(table: pa.Table) -> pa.Table:
         h = [np.cumsum(_unpacked(x, U64), dtype=U64) | U64(1) for x in table.column("words").to_pylist()]

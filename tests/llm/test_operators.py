@@ -567,6 +567,10 @@ def test_cross_entropy_writes_no_table_of_counts(spark, monkeypatch):
     assert moore_lewis.score(spark, df, df.limit(1)).count() == 4
     assert [f.rsplit("/", 1)[1] for f in folders] == ["blocks"]
     assert moore_lewis.distinct_words(moore_lewis.blocks(df, True, None), 7) == 5
+    monkeypatch.setattr(moore_lewis, "_HELD_WORDS", 1)
+    monkeypatch.setattr(moore_lewis, "BLOCK_BYTES", 1)
+    assert moore_lewis.distinct_words(moore_lewis.blocks(df, True, None), 7) == 5
+    monkeypatch.undo()
     assert moore_lewis.BLOCK_BYTES >= 4 << 20  # a pair that recurs in a block is asked for once
 
 
